@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .minhash import near_duplicates
 from .mixing import mix_sources
 from .sharding import shard_documents
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = shard_documents(docs, 16)
@@ -25,5 +30,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "source", "mix_slot", "mix_row", "mix_block", "mix_phase", "mix_due")
 
 
-QUERIES = {"op5_sharding": op5_sharding, "op9_mixing": op9_mixing}
+QUERIES = {"op3_minhash": op3_minhash, "op5_sharding": op5_sharding, "op9_mixing": op9_mixing}
 SQL: dict[str, str] = {}
