@@ -39,6 +39,13 @@ def _sweep() -> None:
             return
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the scratch folder, removed when the driver's process ends."""
+    path = f"{scratch_dir(spark)}/strandloom-{name}-{uuid.uuid4().hex}"
+    _left.append((spark, path))
+    return path
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet below the scratch folder and read it back.
 
@@ -46,9 +53,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     first given. The table is removed when the driver's process ends.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/strandloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _left.append((spark, path))
+    path = scratch_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import scratch_path, table
 from .minhash import near_duplicates
 from .mixing import mix_sources
 from .sharding import shard_documents
+from .tokens import read_tokens, write_tokens
+
+
+def op1_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    write_tokens(table(spark, sf_dir, "documents"), path, str(public_tokenizers.path("byte_bpe_50k.json")))
+    return read_tokens(spark, path)
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,5 +39,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "source", "mix_slot", "mix_row", "mix_block", "mix_phase", "mix_due")
 
 
-QUERIES = {"op3_minhash": op3_minhash, "op5_sharding": op5_sharding, "op9_mixing": op9_mixing}
+QUERIES = {"op1_tokens": op1_tokens, "op3_minhash": op3_minhash, "op5_sharding": op5_sharding, "op9_mixing": op9_mixing}
 SQL: dict[str, str] = {}
