@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import toxicity
 from .common import scratch_path, table
 from .minhash import near_duplicates
 from .mixing import mix_sources
@@ -24,6 +25,11 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = shard_documents(docs, 16)
@@ -39,5 +45,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "source", "mix_slot", "mix_row", "mix_block", "mix_phase", "mix_due")
 
 
-QUERIES = {"op1_tokens": op1_tokens, "op3_minhash": op3_minhash, "op5_sharding": op5_sharding, "op9_mixing": op9_mixing}
+QUERIES = {"op1_tokens": op1_tokens, "op3_minhash": op3_minhash, "op4_toxicity": op4_toxicity, "op5_sharding": op5_sharding, "op9_mixing": op9_mixing}
 SQL: dict[str, str] = {}
