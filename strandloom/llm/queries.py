@@ -9,8 +9,10 @@ from . import toxicity
 from .common import scratch_path, table
 from .minhash import near_duplicates
 from .mixing import mix_sources
+from .nearest import nearest
 from .sharding import shard_documents
 from .tokens import read_tokens, write_tokens
+from .urls import judge
 
 
 def op1_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,10 +42,18 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", 5)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix_sources(docs).select("doc_id", "source", "mix_slot", "mix_row", "mix_block", "mix_phase", "mix_due")
 
 
-QUERIES = {"op1_tokens": op1_tokens, "op3_minhash": op3_minhash, "op4_toxicity": op4_toxicity, "op5_sharding": op5_sharding, "op9_mixing": op9_mixing}
+QUERIES = {"op1_tokens": op1_tokens, "op3_minhash": op3_minhash, "op4_toxicity": op4_toxicity, "op5_sharding": op5_sharding, "op7_urls": op7_urls, "op8_nearest": op8_nearest, "op9_mixing": op9_mixing}
 SQL: dict[str, str] = {}
