@@ -10,6 +10,7 @@ from .common import scratch_path, table
 from .minhash import near_duplicates
 from .mixing import mix_sources
 from .nearest import nearest
+from .repeats import remove_repeats
 from .sharding import shard_documents
 from .tokens import read_tokens, write_tokens
 from .urls import judge
@@ -55,5 +56,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "source", "mix_slot", "mix_row", "mix_block", "mix_phase", "mix_due")
 
 
-QUERIES = {"op1_tokens": op1_tokens, "op3_minhash": op3_minhash, "op4_toxicity": op4_toxicity, "op5_sharding": op5_sharding, "op7_urls": op7_urls, "op8_nearest": op8_nearest, "op9_mixing": op9_mixing}
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+QUERIES = {"op1_tokens": op1_tokens, "op3_minhash": op3_minhash, "op4_toxicity": op4_toxicity, "op5_sharding": op5_sharding, "op7_urls": op7_urls, "op8_nearest": op8_nearest, "op9_mixing": op9_mixing, "op10_repeats": op10_repeats}
 SQL: dict[str, str] = {}
