@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that the session names in spark.checkpoint.dir; a temporary one only where it is unset (tests)."""
@@ -27,6 +29,7 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "4096"}
 _left: list[tuple[SparkSession, str]] = []
 
 
@@ -54,12 +57,30 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = {k: spark.conf.get(k) for k in _BATCHES}
+    try:  # small Arrow batches keep Python workers small; only this write sees them
+        for k, v in _BATCHES.items():
+            spark.conf.set(k, v)
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._strandloom_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Remove materialised tables that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_strandloom_path", None):
+            delete(df.sparkSession, path)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files that fed them
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def long_array(values) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,7 +20,6 @@ def components(links: DataFrame) -> DataFrame:
     while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hook = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("p"))
-        hook = materialise(hook, "hooks")
         for _ in range(2):
             onto = hook.select(F.col("a").alias("p"), F.col("p").alias("pp"))
             hook = hook.join(onto, "p").select("a", F.col("pp").alias("p"))
@@ -33,5 +32,6 @@ def components(links: DataFrame) -> DataFrame:
             labels = materialise(labels, "labels")
         to_a, to_b = hook.select("a", F.col("p").alias("pa")), hook.select(F.col("a").alias("b"), F.col("p").alias("pb"))
         moved = left.join(to_a, "a").join(to_b, "b").where("pa <> pb")
-        left = materialise(moved.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "links")
+        old, left = left, materialise(moved.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "links")
+        discard(old)
     return left.select(F.col("a").alias("node"), F.col("b").alias("label")) if labels is None else labels

@@ -17,15 +17,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 from .components import components
 
 #: Size of a sketch.
 K = 64
 #: Chance that a true link falls below the least overlap asked of two sketches.
 MISS = 1e-12
-#: Stars around changing members before the remaining members of different components are paired.
-STARS = 2
+#: Members that each list compares with all others, turn by turn, before the remaining pairs of different components:
+#: first the most central one, then drawn ones.
+PIVOTS = (1, 4)
+#: Node ids that may be broadcast, counted before.
+BROADCAST_ROWS = 50_000
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -33,7 +36,7 @@ class _Words(dict):
     """Hashes of words, kept while there are not too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 19:
+        if len(self) > 1 << 17:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -76,16 +79,18 @@ def _sketches(width: int, k: int):
 
 
 def _sets(width: int):
+    """Sets of (nid, fp, text) rows; a row whose text has another set than fp, as it shares a doc_id only, gives none."""
+
     def run(batches):
         words = _Words()
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):  # small batches go back: a set may be as large as its text
+            for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                sets = [shingle_set(t.as_buffer().to_pybytes() if t.is_valid else None, width, words) for t in part.column(1)]
-                kept = [xxhash.xxh3_128_digest(s.tobytes()) == fp.as_py() for s, fp in zip(sets, part.column(0), strict=True)]
-                sets = [s.view(np.int64) for s, x in zip(sets, kept, strict=True) if x]  # another text may share the doc_id
+                sets = [shingle_set(t.as_buffer().to_pybytes() if t.is_valid else None, width, words) for t in part.column(2)]
+                kept = [xxhash.xxh3_128_digest(s.tobytes()) == fp.as_py() for s, fp in zip(sets, part.column(1), strict=True)]
+                sets = [s.view(np.int64) for s, x in zip(sets, kept, strict=True) if x]
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
-                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(kept, pa.bool_())), lists], ["fp", "members"])
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(kept, pa.bool_())), lists], ["nid", "members"])
 
     return run
 
@@ -110,84 +115,106 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     texts = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     rows = materialise(texts.mapInArrow(_sketches(width, k), "doc_id bigint, n bigint, fp binary, sketch array<bigint>"), "sketches")
     nodes = rows.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    nodes = materialise(nodes, "nodes")
-    links = _links(nodes, texts, rows, width, percent, k)
-    labels = components(links)
-    named = nodes.select("fp", "rep").join(labels.withColumnRenamed("node", "fp"), "fp", "left")
+    nodes = materialise(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
+    labels = components(_links(nodes, texts, rows, width, percent, k))
+    named = nodes.select("nid", "fp", "rep").join(labels.withColumnRenamed("node", "nid"), "nid", "left")
     linked = named.where("label is not null")
-    of_label = linked.groupBy("label").agg(F.min("rep").alias("least"))
-    linked = linked.join(of_label, "label").select("fp", "least")
-    firsts = named.where("label is null").select("fp", F.col("rep").alias("least")).unionByName(linked)
+    least = linked.groupBy("label").agg(F.min("rep").alias("least"))
+    firsts = named.where("label is null").select("fp", F.col("rep").alias("least")).unionByName(linked.join(least, "label").select("fp", "least"))
     out = rows.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("fp")).alias("fp")).join(firsts, "fp", "left")
-    return out.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"),
-        F.coalesce(F.coalesce("least", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
-    )
+    component = F.coalesce("least", "doc_id")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _links(nodes: DataFrame, texts: DataFrame, rows: DataFrame, width: int, percent: int, k: int) -> DataFrame:
-    spark, share = nodes.sparkSession, percent / 100
-    t = least_overlap(k, share)
-    size = F.size("sketch")
+def _lists(nodes: DataFrame, percent: int, k: int, t: int) -> DataFrame:
+    """nid, n, central and vs: the retained values by which a node is indexed, rarest first."""
+    df = nodes.select(F.explode("sketch").alias("v")).groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
+    shared = nodes.select("nid", F.explode("sketch").alias("v")).join(df, "v").groupBy("nid").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
     # A set within the sketch whose partners are too needs percent of its own size, any other the least overlap.
-    need = F.when(F.col("n") * 100 < k * percent, F.ceil(F.col("n") * percent / 100)).otherwise(F.least(F.lit(t), size))
-    each = nodes.select("fp", "n", need.cast("int").alias("need"), F.explode("sketch").alias("v"))
-    df = each.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    lists = each.join(df, "v").groupBy("fp").agg(F.first("n").alias("n"), F.first("need").alias("need"), F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
-    lists = lists.where(F.size("vs") >= F.col("need")).select("fp", "n", F.explode(F.slice("vs", 1, F.size("vs") - F.col("need") + 1)).alias("x")).select("fp", "n", "x.v")
-    lists = materialise(lists, "lists")
-
-    sizes_fit = f"least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {percent}"
-    found, tried, labels = None, None, None
-    for turn in range(STARS + 1):
+    need = F.when(F.col("n") * 100 < k * percent, F.ceil(F.col("n") * percent / 100)).otherwise(F.least(F.lit(t), F.size("sketch"))).cast("int")
+    lists = shared.join(nodes.select("nid", "n", need.alias("need")), "nid").where(F.size("vs") >= F.col("need"))
+    central = F.aggregate("vs", F.lit(0.0), lambda x, y: x + F.log2(y.df))  # most shares with most others
+    vs = F.slice(F.col("vs.v"), 1, F.size("vs") - F.col("need") + 1)
+    return materialise(lists.select("nid", "n", central.alias("central"), vs.alias("vs")), "lists")
+
+
+def _links(nodes: DataFrame, texts: DataFrame, rows: DataFrame, width: int, percent: int, k: int) -> DataFrame:
+    t = least_overlap(k, percent / 100)
+    lists = _lists(nodes, percent, k, t)
+    high = F.transform("sketch", lambda x: F.shiftrightunsigned(x, 33).cast("int"))  # enough for an estimate that never falls short
+    sketches = materialise(nodes.join(lists.select("nid"), "nid", "left_semi").select("nid", "n", high.alias("sketch")), "short")
+
+    fits = f"label_a <> label_b and least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {percent}"
+    found: list[DataFrame] = []
+    sets: list[DataFrame] = []
+    known = lists.select("*", F.col("nid").alias("label"), F.explode("vs").alias("v")).drop("vs")
+    for turn, pivots in enumerate((*PIVOTS, 0)):
         if turn:
-            known = lists.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+            known = lists.join(components(_union(found)).withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
+            known = known.select("*", F.explode("vs").alias("v"))
             mixed = known.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("v")
-            known = materialise(known.join(mixed, "v"), "mixed")
+            known = materialise((known.drop("vs") if pivots else known).join(mixed, "v"), "mixed")
             if known.isEmpty():
                 break
+        extra = [] if pivots else ["vs"]
+        a, b = (known.select("v", *(F.col(c).alias(f"{c}_{side}") for c in ("nid", "n", "label", *extra))) for side in "ab")
+        if pivots:  # the most central member first, later members drawn by hash
+            by = [F.max(F.struct("central", *(F.col(c).alias(f"{c}_a") for c in ("nid", "n", "label"))))] if not turn else [
+                F.max(F.struct(F.xxhash64("nid", F.lit(100 * turn + i)).alias("h"), *(F.col(c).alias(f"{c}_a") for c in ("nid", "n", "label")))) for i in range(pivots)
+            ]
+            chosen = known.groupBy("v").agg(F.array(*by).alias("xs")).select("v", F.explode(F.array_distinct(F.transform("xs", lambda x: F.struct(x.nid_a.alias("nid_a"), x.n_a.alias("n_a"), x.label_a.alias("label_a"))))).alias("x"))
+            pairs = chosen.select("v", "x.*").join(b, "v").where(fits)
+        else:  # all that are left, each pair in the first list that has both
+            pairs = a.join(b, "v").where("nid_a < nid_b").where(fits).where("v = array_min(array_intersect(vs_a, vs_b))")
+        pairs = pairs.select(F.least("nid_a", "nid_b").alias("a"), F.greatest("nid_a", "nid_b").alias("b")).distinct()
+        looked = _estimated(pairs, sketches, percent, k, t)
+        ids = looked.select(F.col("a").alias("nid")).unionByName(looked.select(F.col("b").alias("nid"))).distinct()
+        for old in sets:
+            ids = ids.join(old.select("nid"), "nid", "left_anti")
+        wanted = materialise(ids.join(nodes.select("nid", "fp", F.col("rep").alias("doc_id")), "nid"), "wanted")
+        if n := wanted.count():
+            sets.append(_set_table(texts, rows, wanted, n, width))
+        if sets:
+            found.append(_confirmed(looked, _union(sets), percent))
+            discard(looked, wanted)
         else:
-            known = lists.withColumn("label", F.col("fp"))
-        a = known.select("v", F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-        b = known.select("v", F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-        if turn < STARS:  # the list's member that comes first by a hash that changes with the turn
-            first = F.min(F.struct(F.xxhash64("a", F.lit(turn)), "a", "n_a", "label_a"))
-            pairs = a.groupBy("v").agg(first.alias("x")).select("v", "x.a", "x.n_a", "x.label_a").join(b, "v").where("a <> b")
-        else:
-            pairs = a.join(b, "v").where("a < b")
-        pairs = pairs.where(f"label_a <> label_b and {sizes_fit}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        new, pairs = _confirmed(pairs, nodes, texts, rows, width, percent, k, t)
-        found = new if found is None else found.unionByName(new)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        if turn < STARS:
-            labels = components(found)
-    return found
-
-
-def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, rows: DataFrame, width: int, percent: int, k: int, t: int) -> tuple[DataFrame, DataFrame]:
-    """The pairs that the full sets confirm, and all that were looked at."""
-    at_a = nodes.select(F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    at_b = nodes.select(F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    whole = f"greatest(n_a, n_b) <= {k}"  # then the sketches are the sets
+            found.append(looked)
+        if turn:
+            discard(known)
+    discard(*sets, sketches)
+    return _union(found)
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for x in tables[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def _set_table(texts: DataFrame, rows: DataFrame, wanted: DataFrame, n: int, width: int) -> DataFrame:
+    """The full sets of the n wanted nodes (nid, fp, doc_id), made anew from their texts."""
+    few = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted  # 32 bytes a row
+    out = materialise(texts.join(few, "doc_id").select("nid", "fp", "text").mapInArrow(_sets(width), "nid bigint, members array<bigint>"), "sets")
+    if rows.select("doc_id", "fp").join(few, ["doc_id", "fp"]).count() > n:  # rows that repeat both id and text
+        out = materialise(out.groupBy("nid").agg(F.first("members").alias("members")), "sets")
+    return out
+
+
+def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int, k: int, t: int) -> DataFrame:
+    """The pairs (a, b) that the estimate on the sketch of the union lets pass."""
+    for side in "ab":
+        pairs = pairs.join(sketches.toDF(side, f"n_{side}", f"sketch_{side}"), side)
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, k)
-    shared = F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), union))
-    looked = pairs.join(at_a, "a").join(at_b, "b").withColumn("shared", shared)
-    enough = f"shared * 100 >= {percent} * (n_a + n_b - shared)"
-    looked = looked.select("a", "b", F.expr(f"if({whole}, if({enough}, 2, 0), if(shared >= {t}, 1, 0))").alias("state"))
-    looked = materialise(looked, "looked")
-    sure, open_ = looked.where("state = 2").select("a", "b"), looked.where("state = 1").select("a", "b")
-    if open_.isEmpty():
-        return sure, looked.select("a", "b")
-    wanted = open_.select(F.col("a").alias("fp")).unionByName(open_.select(F.col("b").alias("fp"))).distinct()
-    wanted = wanted.join(nodes.select("fp", F.col("rep").alias("doc_id")), "fp")
-    held = texts.join(wanted, "doc_id").select("fp", "text")
-    sets = materialise(held.mapInArrow(_sets(width), "fp binary, members array<bigint>"), "sets")
-    if rows.join(wanted, ["doc_id", "fp"]).count() > wanted.count():  # rows that repeat both id and text
-        sets = sets.groupBy("fp").agg(F.first("members").alias("members"))
-    at_a = sets.select(F.col("fp").alias("a"), F.col("members").alias("in_a"))
-    at_b = sets.select(F.col("fp").alias("b"), F.col("members").alias("in_b"))
-    both = open_.join(at_a, "a").join(at_b, "b").withColumn("i", F.size(F.array_intersect("in_a", "in_b")))
-    good = both.where(F.expr(f"i * 100 >= {percent} * (size(in_a) + size(in_b) - i)")).select("a", "b").distinct()
-    return materialise(sure.unionByName(good), "confirmed"), looked.select("a", "b")
+    pairs = pairs.withColumn("shared", F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), union)))
+    whole = f"greatest(n_a, n_b) <= {k}"  # then the sketches are the sets
+    return materialise(pairs.where(f"if({whole}, shared * 100 >= {percent} * (n_a + n_b - shared), shared >= {t})").select("a", "b"), "looked")
+
+
+def _confirmed(looked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    both = looked
+    for side in "ab":
+        both = both.join(sets.toDF(side, f"in_{side}"), side)
+    both = both.withColumn("i", F.size(F.array_intersect("in_a", "in_b")))
+    return materialise(both.where(f"i * 100 >= {percent} * (size(in_a) + size(in_b) - i)").select("a", "b"), "confirmed")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import toxicity
 from .common import scratch_path, table
+from .decontamination import leaks
 from .minhash import near_duplicates
 from .mixing import mix_sources
 from .nearest import nearest
@@ -24,6 +25,10 @@ def op1_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("h")
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
@@ -60,5 +65,5 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {"op1_tokens": op1_tokens, "op3_minhash": op3_minhash, "op4_toxicity": op4_toxicity, "op5_sharding": op5_sharding, "op7_urls": op7_urls, "op8_nearest": op8_nearest, "op9_mixing": op9_mixing, "op10_repeats": op10_repeats}
+QUERIES = {"op1_tokens": op1_tokens, "op2_decontamination": op2_decontamination, "op3_minhash": op3_minhash, "op4_toxicity": op4_toxicity, "op5_sharding": op5_sharding, "op7_urls": op7_urls, "op8_nearest": op8_nearest, "op9_mixing": op9_mixing, "op10_repeats": op10_repeats}
 SQL: dict[str, str] = {}

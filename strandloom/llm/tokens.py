@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,21 +28,27 @@ from .common import long_array, materialise
 #: Ids of one block and of one part file, about.
 BLOCK_IDS, PART_IDS = 1 << 18, 1 << 24
 #: Pieces of text whose ids a worker keeps.
-CACHE = 500_000
+CACHE = 1_000_000
 _MAGIC = b"SLT1"
 _LEN = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3
 _LENGTHS = (_LEN + 1).astype(np.uint8)
-_MASKS = np.array([0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
-#: A blank beside white space or an end; elsewhere a text can be cut before a blank without changing its ids.
-_UNEVEN = re.compile(r"\s \s?| \s|^ | $")
+#: White space beside white space or an end. Elsewhere a text can be cut before a blank or a line break.
+_UNEVEN = re.compile(r"\s\s|^\s|\s$")
 _own: dict = {}
 
 
 def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of unsigned 32-bit values."""
     v = np.ascontiguousarray(values, "<u4")
-    code = (v > 0xFF).astype(np.uint8) + (v > 0xFFFF) + (v > 0xFFFFFF)
-    data = v.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]]
+    code = (v > 0xFF).astype(np.uint8)
+    if small := not len(v) or v.max() <= 0xFFFF:
+        v = v.astype("<u2")
+    else:
+        code += (v > 0xFFFF).view(np.uint8) + (v > 0xFFFFFF).view(np.uint8)
+    kept = np.ones((len(v), 2 if small else 4), bool)
+    for j in range(1, kept.shape[1]):
+        np.greater_equal(code, j, out=kept[:, j])
+    data = v.view(np.uint8)[kept.ravel()]
     padded = np.zeros(-(-len(v) // 4) * 4, np.uint8)
     padded[: len(v)] = code
     control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
@@ -52,11 +59,11 @@ def decode_values(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     """The n values: a control byte looks up four lengths, whose running sum gives each value's place."""
     lengths = _LENGTHS[control].ravel()[:n]
     at = np.cumsum(lengths, dtype=np.int64) - lengths
-    data = np.concatenate([data, np.zeros(4, np.uint8)]).astype(np.uint32)
-    v = data[at]
-    for j in (1, 2, 3):
-        v |= data[at + j] << np.uint32(8 * j)
-    return v & _MASKS[lengths - 1]
+    v = data[at].astype(np.uint32)
+    for j in range(1, int(lengths.max(initial=1))):  # bytes that a value has only if it is long enough
+        longer = np.flatnonzero(lengths > j)
+        v[longer] |= data[at[longer] + j].astype(np.uint32) << np.uint32(8 * j)
+    return v
 
 
 def pack_block(doc_ids: list[int | None], counts: list[int], ranks: np.ndarray) -> bytes:
@@ -82,22 +89,39 @@ def unpack_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
 
 
 class _Pieces(dict):
-    """Ids, as bytes, of the pieces that follow a blank."""
+    """Ids, as bytes, of pieces: a word after a blank (keyed without it) or after a line break (keyed with it)."""
 
     def __init__(self, tokenizer, kind: str):
         self.tokenizer, self.kind = tokenizer, kind
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > CACHE:
+    def learn(self, pieces: set[str]) -> None:
+        """One call to the tokenizer for all new pieces."""
+        if len(self) + len(pieces) > CACHE:
             self.clear()
-        self[piece] = x = self.whole(" " + piece)
-        return x
-
-
-def _tokenised(model, end: bytes, kind: str):
+        pieces = list(pieces)
+        found = self.tokenizer.encode_batch_fast([p if p[:1] == "\n" else " " + p for p in pieces], add_special_tokens=False)
+        self.update(zip(pieces, (array(self.kind, x.ids).tobytes() for x in found), strict=True))
+
+    def all_of(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each whole text. Cut texts give the same ids, as no pretoken crosses a cut."""
+        heads, tails, gaps = [], [], []
+        for t in texts:
+            words = [t or ""] if not t or _UNEVEN.search(t) else t.replace("\n", " \n").split(" ")
+            heads.append(words[0])
+            del words[0]
+            ids = list(map(self.get, words))
+            tails.append(ids)
+            if None in ids:
+                gaps.append((ids, [(i, words[i]) for i, x in enumerate(ids) if x is None]))
+        self.learn({w for _, missing in gaps for _, w in missing})
+        for ids, missing in gaps:
+            for i, w in missing:
+                ids[i] = self[w]
+        whole = self.tokenizer.encode_batch_fast(heads, add_special_tokens=False)
+        return [array(self.kind, w.ids).tobytes() + b"".join(ids) for w, ids in zip(whole, tails, strict=True)]
+
+
+def _tokenised(model, end_id: int, kind: str):
     def run(batches):
         import os
 
@@ -106,18 +130,12 @@ def _tokenised(model, end: bytes, kind: str):
 
         if _own.get("of") != hash(model.value):  # a worker keeps tokenizer and pieces for its later tasks
             _own.update(of=hash(model.value), pieces=_Pieces(Tokenizer.from_str(model.value), kind))
-        pieces: _Pieces = _own["pieces"]
+        pieces, end = _own["pieces"], array(kind, [end_id]).tobytes()
         for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                if not text:
-                    out.append(end)
-                elif _UNEVEN.search(text):
-                    out.append(pieces.whole(text) + end)
-                else:
-                    first, *rest = text.split(" ")
-                    out.append(pieces.whole(first) + b"".join(map(pieces.__getitem__, rest)) + end)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(out, pa.binary())], ["doc_id", "tie", "row", "ids"])
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                ids = pa.array([x + end for x in pieces.all_of(part.column(1).to_pylist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), ids], ["doc_id", "tie", "row", "ids"])
 
     return run
 
@@ -189,10 +207,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, key: str = "do
     from tokenizers import Tokenizer
 
     size = max(Tokenizer.from_str(model).get_vocab(with_added_tokens=True).values(), default=0) + 1
-    kind = "<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4"
+    kind = "H" if max(size, end_id + 1) <= 1 << 16 else "I"
     size = max(size, end_id + 1)
     read = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("tie"), F.monotonically_increasing_id().alias("row"))
-    tokens = materialise(read.mapInArrow(_tokenised(spark.sparkContext.broadcast(model), np.array([end_id], kind).tobytes(), kind), "doc_id bigint, tie bigint, row bigint, ids binary"), "tokens")
+    tokens = materialise(read.mapInArrow(_tokenised(spark.sparkContext.broadcast(model), end_id, kind), "doc_id bigint, tie bigint, row bigint, ids binary"), "tokens")
     counts = tokens.select("ids").mapInArrow(_counted(kind, size), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     seen = counts.orderBy(F.desc("n"), "id").collect()  # at most the vocabulary
     id_of = np.array([r[0] for r in seen], np.uint32)
