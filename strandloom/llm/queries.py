@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import secrets, toxicity
 from .common import scratch_path, table
 from .decontamination import leaks
 from .minhash import near_duplicates
@@ -48,6 +48,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"), secrets.train())
+    return found.drop("string")  # the digest names places, not the secrets themselves
+
+
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
 
@@ -65,5 +70,5 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {"op1_tokens": op1_tokens, "op2_decontamination": op2_decontamination, "op3_minhash": op3_minhash, "op4_toxicity": op4_toxicity, "op5_sharding": op5_sharding, "op7_urls": op7_urls, "op8_nearest": op8_nearest, "op9_mixing": op9_mixing, "op10_repeats": op10_repeats}
+QUERIES = {"op1_tokens": op1_tokens, "op2_decontamination": op2_decontamination, "op3_minhash": op3_minhash, "op4_toxicity": op4_toxicity, "op5_sharding": op5_sharding, "op6_secrets": op6_secrets, "op7_urls": op7_urls, "op8_nearest": op8_nearest, "op9_mixing": op9_mixing, "op10_repeats": op10_repeats}
 SQL: dict[str, str] = {}
