@@ -73,7 +73,7 @@ def _sketches(width: int, k: int):
                 fp.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sketch.append(s[:k].view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sketch)]), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *sketch])))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(fp, pa.binary()), lists], ["doc_id", "n", "fp", "sketch"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(fp, pa.binary()), lists, batch.column(2)], ["doc_id", "n", "fp", "sketch", "text_hash"])
 
     return run
 
@@ -106,14 +106,14 @@ def least_overlap(k: int, share: float, miss: float = MISS) -> int:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 2, percent: int = 80, k: int = K) -> DataFrame:
-    """For each row of docs: doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept.
+    """For each row of docs: doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept, text_hash.
 
     Linked are documents whose sets have 100 * |intersection| >= percent * |union|. Null, empty and blank texts have
     an empty set and no link. Rows that repeat a doc_id are judged each by its own text. A row whose doc_id is null
     takes part in no group: its component is null and it is kept. Other columns of docs are not read.
     """
     texts = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    rows = materialise(texts.mapInArrow(_sketches(width, k), "doc_id bigint, n bigint, fp binary, sketch array<bigint>"), "sketches")
+    rows = materialise(texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sketches(width, k), "doc_id bigint, n bigint, fp binary, sketch array<bigint>, text_hash bigint"), "sketches")
     nodes = rows.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     nodes = materialise(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
     labels = components(_links(nodes, texts, rows, width, percent, k))
@@ -121,9 +121,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     linked = named.where("label is not null")
     least = linked.groupBy("label").agg(F.min("rep").alias("least"))
     firsts = named.where("label is null").select("fp", F.col("rep").alias("least")).unionByName(linked.join(least, "label").select("fp", "least"))
-    out = rows.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("fp")).alias("fp")).join(firsts, "fp", "left")
+    out = rows.select("doc_id", "n", "text_hash", F.when(F.col("doc_id").isNotNull(), F.col("fp")).alias("fp")).join(firsts, "fp", "left")
     component = F.coalesce("least", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), "text_hash")
+
+
+def drop_duplicates(docs: DataFrame, groups: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, that `groups` (of near_duplicates) keeps; of rows that repeat both id and text, one."""
+    same = docs[key].cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text].cast("binary")) == F.col("__h"))
+    bad = groups.where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__h"))
+    again = materialise(groups.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__h")).count().where("count > 1").drop("count"), "repeated")
+    if again.isEmpty():
+        return docs.join(bad, same, "left_anti")
+    once = docs.join(again, same, "left_semi").withColumns({"__id": F.col(key).cast("bigint"), "__h": F.xxhash64(F.col(text).cast("binary"))}).dropDuplicates(["__id", "__h"])
+    return docs.join(bad.unionByName(again), same, "left_anti").unionByName(once.select(*docs.columns))
 
 
 def _lists(nodes: DataFrame, percent: int, k: int, t: int) -> DataFrame:

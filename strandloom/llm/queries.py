@@ -30,7 +30,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80).drop("text_hash")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
