@@ -350,9 +350,9 @@ def grpfunwith(spark, d):
     return G.group_rows(Tables(spark, d).customer.select("c_nationkey", "c_custkey", "c_acctbal"), ["c_nationkey"], top, "c_nationkey int, c_custkey bigint, rank bigint")
 
 
-@query("q_grpfunexp", "select event_id, round(value - avg(value) over (partition by user_id), 4) as centred from events")
+@query("q_grpfunexp", "select event_id, round(value - max(value) over (partition by user_id), 4) as centred from events")
 def grpfunexp(spark, d):
-    return G.group_expand(Tables(spark, d).events, ["user_id"], m=F.avg("value")).select("event_id", F.round(F.col("value") - F.col("m"), 4).alias("centred"))
+    return G.group_expand(Tables(spark, d).events, ["user_id"], m=F.max("value")).select("event_id", F.round(F.col("value") - F.col("m"), 4).alias("centred"))
 
 
 @query("q_grpvec", "select user_id, string_agg(event_type, ',' order by event_id) as types from events where event_type is not null group by 1")
