@@ -193,3 +193,48 @@ def flagship(spark, d):
     out = fill_empty(out, ["site", "ovlp", "family"], F.col("__hit").isNotNull())
     cls = F.when(F.col("gene_typ") == "protein_coding", "cdgene").when(F.col("__hit").isNull(), "nonRT").otherwise(F.concat(F.lit("RT_"), "family"))
     return out.select("gene", "gene_typ", "site", "ovlp", "family", cls.alias("class"))
+
+
+@query("q_rpkm", f"""with {TAG}, u as ({_islands("tag", 1, keys="tid")}), len as (select tid, sum("end" - "start" + 1) as len from u group by tid), c as (select l_orderkey as tid, l_returnflag as sample, sum(cast(l_quantity as bigint)) as n from lineitem group by all)
+  select tid, sample, round(1e9 * n / sum(n) over (partition by sample) / len, 3) as rpkm from c join len using (tid)""")
+def rpkm(spark, d):
+    t = Tables(spark, d)
+    length = I.segment_union(t.tag, ["tid"]).groupBy("tid").agg(F.sum(F.col("end") - F.col("start") + 1).alias("len"))
+    counts = t.lineitem.groupBy(F.col("l_orderkey").alias("tid"), F.col("l_returnflag").alias("sample")).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("n"))
+    total = counts.groupBy("sample").agg(F.sum("n").alias("total"))
+    return counts.join(total, "sample").join(length, "tid").select("tid", "sample", F.round(F.lit(1e9) * F.col("n") / F.col("total") / F.col("len"), 3).alias("rpkm"))
+
+
+def _derived(t):
+    """Exon tables, repeats and counts in the pipeline's shapes, from the interval relations."""
+    orders = t.orders.select(F.col("o_orderkey").alias("tid"), F.col("o_custkey").alias("cust"), F.col("o_orderpriority").alias("prio"))
+    exons = t.tag.join(orders, "tid").select(
+        (F.col("chr") + 1).cast("int").alias("chrno"), F.col("start").alias("exn_start"), F.col("end").alias("exn_end"), F.concat(F.lit("MSTRG."), F.col("tid").cast("string")).alias("geneid"),
+        F.when(F.col("ln") % 2 == 0, F.concat(F.lit("T"), (F.col("cust") % 50).cast("string"))).otherwise(F.concat(F.lit("MSTRG."), F.col("tid").cast("string"), F.lit(".1"))).alias("transid"), F.lit("").alias("gene_typ"),
+    )
+    ref = t.spark.range(50).select(F.concat(F.lit("T"), F.col("id").cast("string")).alias("transid"), F.concat(F.lit("G"), F.floor(F.col("id") / 2).cast("string")).alias("geneid"), F.when(F.col("id") % 10 < 2, "protein_coding").otherwise("lncRNA").alias("gene_typ"))
+    reps = t.site.join(t.part.select(F.col("p_partkey").alias("sid"), "p_name", "p_brand", "p_type"), "sid").select((F.col("chr") + 1).cast("int").alias("chrno"), "start", "end", F.col("sid").alias("rep_recNo"), F.col("p_name").alias("rep_name"), F.col("p_brand").alias("rep_Fam"), F.col("p_type").alias("rep_subFam"), F.lit("+").alias("strand"))
+    counts = t.lineitem.groupBy(F.concat(F.lit("MSTRG."), F.col("l_orderkey").cast("string")).alias("gene_STRid")).pivot("l_returnflag", ["A", "N", "R"]).agg(F.sum(F.col("l_quantity").cast("bigint"))).fillna(0)
+    return exons, ref, reps, counts.unpivot(["gene_STRid"], ["A", "N", "R"], "sample", "readnum")
+
+
+@query("q_cryptic_pipeline", f"""with {SITE}, {TAG},
+  m as (select tag.chr + 1 as chrno, s, e, 'MSTRG.' || tid as gene, case when ln % 2 = 0 then 'T' || (o_custkey % 50) else null end as trans from tag join orders on tid = o_orderkey),
+  ref as (select 'T' || range as trans, 'G' || (range // 2) as geneid, case when range % 10 < 2 then 1 else 0 end as coding from range(0, 50)),
+  k as (select gene, geneid, coding, max(coding) over (partition by gene) as anyc from m join ref using (trans)),
+  v as (select gene, geneid, row_number() over (partition by gene order by count(*) desc, geneid) as r from k where coding = anyc group by gene, geneid),
+  typ as (select geneid, min(case when coding = 1 then 'protein_coding' else 'lncRNA' end) as gene_typ from ref group by 1),
+  g as (select gene, coalesce(any_value(v.geneid), gene) as geneid, coalesce(any_value(gene_typ), 'novel_detected') as gene_typ from (select distinct gene from m) x left join (select gene, geneid from v where r = 1) v using (gene) left join typ using (geneid) group by gene),
+  o as (select gene, sid, sum(least(site.e, m.e) - greatest(site.s, m.s) + 1) as o from m join g using (gene) join site on site.chr + 1 = m.chrno and m.s <= site.e and m.e >= site.s where gene_typ <> 'protein_coding' group by gene, sid),
+  b as (select gene, sid, row_number() over (partition by gene order by o desc, sid) as r from o),
+  len as (select gene, sum("end" - "start" + 1) as len from ({_islands("m", 1, keys="gene")}) group by gene),
+  c as (select 'MSTRG.' || l_orderkey as gene, sum(case when l_returnflag = 'A' then cast(l_quantity as bigint) else 0 end) as n from lineitem group by 1)
+  select gene as "RAT_ID", p_name as dominant, 'RT_' || p_brand as family, cast(len as bigint) as len, round(1e9 * n / total / len, 2) as rpkm_a
+  from g join len using (gene) join (select gene, n, sum(n) over () as total from c where gene in (select gene from g)) c using (gene) join (select * from b where r = 1) b using (gene) join part on p_partkey = sid where gene_typ <> 'protein_coding'""")
+def cryptic_pipeline(spark, d):
+    """The whole flagship pipeline on derived exon tables, repeats and counts."""
+    from .cryptic import cryptic
+
+    out = cryptic(*_derived(Tables(spark, d)))
+    a = out.rpkm.where("sample = 'A'").select("RAT_ID", F.round("value", 2).alias("rpkm_a"))
+    return out.info.select("RAT_ID", F.col("dominant_retrotransposon").alias("dominant"), "family", F.col("transcription_length").alias("len")).join(a, "RAT_ID")
