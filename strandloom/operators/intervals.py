@@ -72,9 +72,9 @@ def segment_union(df: DataFrame, keys: list[str], start: str = "start", end: str
     return _islands(_islands(df, [*keys, "__block"], start, end, weld, sums).drop("__block"), keys, start, end, weld, sums)
 
 
-def depth(df: DataFrame, keys: list[str], start: str = "start", end: str = "end", score: str | Column = F.lit(1), cutoff: float = 1, name: str = "depth", block: int = 1 << 20) -> DataFrame:
-    """Maximal runs of constant depth (sum of scores) of at least cutoff; a cutoff of 0 or less gives inner gaps too."""
-    value = F.col(score) if isinstance(score, str) else score
+def depth(df: DataFrame, keys: list[str], start: str = "start", end: str = "end", score: str | Column | None = None, cutoff: float = 1, name: str = "depth", block: int = 1 << 20) -> DataFrame:
+    """Maximal runs of constant depth (count, or sum of scores) of at least cutoff; a cutoff of 0 or less gives inner gaps too."""
+    value = F.lit(1) if score is None else F.col(score) if isinstance(score, str) else score
     value = value.cast("double") if dict(df.select(value.alias("x")).dtypes)["x"] in ("double", "float") else value.cast("bigint")
     events = df.select(*keys, F.explode(F.array(F.struct(F.col(start).cast("bigint").alias("at"), value.alias("d")), F.struct((F.col(end) + 1).cast("bigint").alias("at"), (-value).alias("d")))).alias("e"))
     events = events.select(*keys, "e.at", "e.d").groupBy(*keys, "at").agg(F.sum("d").alias("d")).where("d <> 0")
