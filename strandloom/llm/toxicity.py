@@ -22,6 +22,8 @@ from .trees import Boosted, Isotonic, boost, isotonic
 MAX_TRAIN = 12_000
 #: Learned terms kept, by evidence.
 MAX_TERMS = 3_000
+#: A term must be so frequent in toxic rows that chance would make it with a probability of exp(-EVIDENCE) at most.
+EVIDENCE = 9.0
 THRESHOLD = 0.3
 
 # Insults and second-person words of four languages.
@@ -143,7 +145,9 @@ def _lexicon(rows: list, folds: tuple[int, ...], totals: dict[int, int]) -> dict
     for r in rows:
         pos, neg = sum(r[f"n{2 * f + 1}"] for f in folds), sum(r[f"n{2 * f}"] for f in folds)
         odds = np.log((pos + 0.5) / (pos_all + 1) * (neg_all + 1) / (neg + 0.5))
-        if pos >= 3 and odds >= 1.5:
+        share, usual = pos / max(pos + neg, 1), (pos_all + 1) / (pos_all + neg_all + 2)
+        surprise = pos * np.log(max(share, 1e-9) / usual) + neg * np.log(max(1 - share, 1e-9) / (1 - usual))  # a bound on the tail
+        if odds >= 1.5 and surprise >= EVIDENCE:
             out[r["term"]] = float(odds * min(1.0, pos / 8))
     return out
 
