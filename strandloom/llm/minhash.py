@@ -3,8 +3,9 @@
 A document's set of word shingles is hashed once; its sketch is the k smallest hashes. Inverted lists of the retained
 hashes generate pairs, an estimate on the sketch of the union filters them, and the full sets confirm them. Equal sets
 are one node from the start. Lists are indexed rarest value first and only as far as two sketches that overlap enough
-must meet (a prefix filter); within a list a star around one member comes first, and only members that are then still
-in different components are paired, so a large group of copies costs about one comparison a member.
+must meet (a prefix filter); within a list a star around its most central member comes first, and only members that are
+then still in different components are indexed more finely and paired, so a large group of copies costs about one
+comparison a member.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ from pyspark.sql import functions as F
 from .common import discard, materialise
 from .components import components
 
-#: Size of a sketch.
-K = 64
-#: Chance that a true link falls below the least overlap asked of two sketches.
-MISS = 1e-12
-#: Members that each list compares with all others, turn by turn, before the remaining pairs of different components:
-#: first the most central one, then drawn ones.
-PIVOTS = (1, 4)
+#: Size of a sketch; sets of up to WHOLE values are kept whole, which makes their overlaps exact.
+K, WHOLE = 64, 128
+#: Chance that a link right at the threshold falls below the least overlap asked of two sketches.
+MISS = 1e-9
+#: Members that a list whose members are apart after the first stars may have to be paired at once.
+SMALL_LIST = 16
+#: As K and WHOLE, for the finer index of the members of larger lists.
+FINE_K, FINE_WHOLE = 256, 512
 #: Node ids that may be broadcast, counted before.
 BROADCAST_ROWS = 50_000
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -71,7 +73,7 @@ def _sketches(width: int, k: int):
                 s = shingle_set(text.as_buffer().to_pybytes() if text.is_valid else None, width, words)
                 n.append(len(s))
                 fp.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                sketch.append(s[:k].view(np.int64))
+                sketch.append(s[: k if len(s) > WHOLE else WHOLE].view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sketch)]), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *sketch])))
             yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(fp, pa.binary()), lists, batch.column(2)], ["doc_id", "n", "fp", "sketch", "text_hash"])
 
@@ -137,65 +139,106 @@ def drop_duplicates(docs: DataFrame, groups: DataFrame, key: str = "doc_id", tex
     return docs.join(bad.unionByName(again), same, "left_anti").unionByName(once.select(*docs.columns))
 
 
-def _lists(nodes: DataFrame, percent: int, k: int, t: int) -> DataFrame:
-    """nid, n, central and vs: the retained values by which a node is indexed, rarest first."""
-    df = nodes.select(F.explode("sketch").alias("v")).groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    shared = nodes.select("nid", F.explode("sketch").alias("v")).join(df, "v").groupBy("nid").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
-    # A set within the sketch whose partners are too needs percent of its own size, any other the least overlap.
-    need = F.when(F.col("n") * 100 < k * percent, F.ceil(F.col("n") * percent / 100)).otherwise(F.least(F.lit(t), F.size("sketch"))).cast("int")
-    lists = shared.join(nodes.select("nid", "n", need.alias("need")), "nid").where(F.size("vs") >= F.col("need"))
+def _index(nodes: DataFrame, percent: int, k: int, whole: int, miss: float) -> DataFrame:
+    """nid, n, held, central and vs: the retained values by which a node (nid, n, sketch) is indexed, rarest first.
+
+    A whole set meets other whole sets, of which it must share percent of its own size, under its own values; a sketch
+    meets sketches, of which it must share the least overlap, under their complements. Sets whose partners may be of
+    either kind are indexed twice.
+    """
+    t = least_overlap(k, percent / 100, miss)
+    full = nodes.where(F.col("n") <= whole).select("nid", "n", F.ceil(F.col("n") * percent / 100).cast("int").alias("need"), F.col("sketch").alias("vs"))
+    cut = nodes.where(F.col("n") * 100 > whole * percent).select("nid", "n", F.least(F.lit(t), F.size("sketch")).alias("need"), F.transform(F.slice("sketch", 1, k), F.bitwise_not).alias("vs"))
+    roles = full.withColumn("role", F.lit(0)).unionByName(cut.withColumn("role", F.lit(1)))
+    df = roles.select(F.explode("vs").alias("v")).groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
+    shared = roles.select("nid", "role", F.explode("vs").alias("v")).join(df, "v").groupBy("nid", "role").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    lists = shared.join(roles.select("nid", "role", "n", "need"), ["nid", "role"]).where(F.size("vs") >= F.col("need"))
     central = F.aggregate("vs", F.lit(0.0), lambda x, y: x + F.log2(y.df))  # most shares with most others
     vs = F.slice(F.col("vs.v"), 1, F.size("vs") - F.col("need") + 1)
-    return materialise(lists.select("nid", "n", central.alias("central"), vs.alias("vs")), "lists")
+    held = F.when(F.col("role") == 0, F.size("vs").cast("bigint"))  # of a whole set, the values that another set has
+    return materialise(lists.select("nid", "n", held.alias("held"), central.alias("central"), vs.alias("vs")), "lists")
+
+
+def _entries(lists: DataFrame) -> DataFrame:
+    """A row for each list v that a node is in; room is the largest overlap with a set that has none of its rarer values."""
+    room = F.coalesce(F.col("held") - F.col("place"), F.col("n"))
+    return lists.select("*", F.posexplode("vs").alias("place", "v")).withColumn("room", room).drop("held", "place")
 
 
 def _links(nodes: DataFrame, texts: DataFrame, rows: DataFrame, width: int, percent: int, k: int) -> DataFrame:
+    """Confirmed pairs that connect every component: a star in each list of the sketches; where members are still apart,
+    all pairs of short lists, and for the members of long ones a finer index of the same kind, its stars, and the pairs
+    that are apart after that."""
     t = least_overlap(k, percent / 100)
-    lists = _lists(nodes, percent, k, t)
+    lists = _index(nodes, percent, k, WHOLE, MISS)
     high = F.transform("sketch", lambda x: F.shiftrightunsigned(x, 33).cast("int"))  # enough for an estimate that never falls short
-    sketches = materialise(nodes.join(lists.select("nid"), "nid", "left_semi").select("nid", "n", high.alias("sketch")), "short")
-
-    fits = f"label_a <> label_b and least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {percent}"
-    found: list[DataFrame] = []
+    sketches = materialise(nodes.join(lists.select("nid").distinct(), "nid", "left_semi").select("nid", "n", high.alias("sketch")), "short")
     sets: list[DataFrame] = []
-    known = lists.select("*", F.col("nid").alias("label"), F.explode("vs").alias("v")).drop("vs")
-    for turn, pivots in enumerate((*PIVOTS, 0)):
-        if turn:
-            known = lists.join(components(_union(found)).withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
-            known = known.select("*", F.explode("vs").alias("v"))
-            mixed = known.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("v")
-            known = materialise((known.drop("vs") if pivots else known).join(mixed, "v"), "mixed")
-            if known.isEmpty():
-                break
-        extra = [] if pivots else ["vs"]
-        a, b = (known.select("v", *(F.col(c).alias(f"{c}_{side}") for c in ("nid", "n", "label", *extra))) for side in "ab")
-        if pivots:  # the most central member first, later members drawn by hash
-            by = [F.max(F.struct("central", *(F.col(c).alias(f"{c}_a") for c in ("nid", "n", "label"))))] if not turn else [
-                F.max(F.struct(F.xxhash64("nid", F.lit(100 * turn + i)).alias("h"), *(F.col(c).alias(f"{c}_a") for c in ("nid", "n", "label")))) for i in range(pivots)
-            ]
-            chosen = known.groupBy("v").agg(F.array(*by).alias("xs")).select("v", F.explode(F.array_distinct(F.transform("xs", lambda x: F.struct(x.nid_a.alias("nid_a"), x.n_a.alias("n_a"), x.label_a.alias("label_a"))))).alias("x"))
-            pairs = chosen.select("v", "x.*").join(b, "v").where(fits)
-        else:  # all that are left, each pair in the first list that has both
-            pairs = a.join(b, "v").where("nid_a < nid_b").where(fits).where("v = array_min(array_intersect(vs_a, vs_b))")
-        pairs = pairs.select(F.least("nid_a", "nid_b").alias("a"), F.greatest("nid_a", "nid_b").alias("b")).distinct()
-        looked = _estimated(pairs, sketches, percent, k, t)
-        ids = looked.select(F.col("a").alias("nid")).unionByName(looked.select(F.col("b").alias("nid"))).distinct()
+    found: list[DataFrame] = []
+
+    def want(ids: DataFrame) -> None:
+        """Full sets of these nodes, if they are not there yet."""
         for old in sets:
             ids = ids.join(old.select("nid"), "nid", "left_anti")
         wanted = materialise(ids.join(nodes.select("nid", "fp", F.col("rep").alias("doc_id")), "nid"), "wanted")
         if n := wanted.count():
             sets.append(_set_table(texts, rows, wanted, n, width))
-        if sets:
-            found.append(_confirmed(looked, _union(sets), percent))
-            discard(looked, wanted)
-        else:
-            found.append(looked)
-        if turn:
-            discard(known)
-    discard(*sets, sketches)
+        discard(wanted)
+
+    def look(pairs: DataFrame) -> None:
+        pairs = pairs.select(F.least("nid_a", "nid_b").alias("a"), F.greatest("nid_a", "nid_b").alias("b")).distinct()
+        looked = _estimated(pairs, sketches, percent, k, t)
+        want(looked.select(F.col("a").alias("nid")).unionByName(looked.select(F.col("b").alias("nid"))).distinct())
+        found.append(_confirmed(looked, _union(sets), percent) if sets else looked)
+
+    def apart(lists: DataFrame) -> DataFrame:
+        """Rows (list v, member, label) of the lists whose members have different labels."""
+        known = lists.join(components(_union(found)).withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
+        each = _entries(known)
+        mixed = each.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("v", "m")
+        return materialise(each.join(mixed, "v"), "apart")
+
+    look(_star(_entries(lists.withColumn("label", F.col("nid"))).drop("vs"), percent))
+    rest = apart(lists)
+    if rest.isEmpty():
+        return _union(found)
+    look(_pairs(rest.where(F.col("m") <= SMALL_LIST), percent))  # a bounded number of pairs for each entry
+    members = materialise(rest.where(F.col("m") > SMALL_LIST).select("nid").distinct(), "members")
+    discard(rest)
+    if members.isEmpty():
+        return _union(found)
+    want(members)
+    finer = _union(sets).join(members, "nid", "left_semi").select("nid", F.size("members").cast("bigint").alias("n"), F.when(F.size("members") <= FINE_WHOLE, F.col("members")).otherwise(F.slice("members", 1, FINE_K)).alias("sketch"))
+    lists = _index(finer, percent, FINE_K, FINE_WHOLE, MISS)
+    rest = apart(lists)
+    look(_star(rest, percent))
+    discard(rest)
+    rest = apart(lists)
+    if not rest.isEmpty():  # all that are left, each pair in the first list that has both
+        look(_pairs(rest, percent, "vs").where("v = get(array_intersect(vs_a, vs_b), 0)"))
+    discard(rest, *sets, sketches)
     return _union(found)
 
 
+def _side(lists: DataFrame, side: str, *more: str) -> DataFrame:
+    return lists.select("v", *(F.col(c).alias(f"{c}_{side}") for c in ("nid", "n", "room", "label", *more)))
+
+
+def _fits(percent: int) -> str:
+    return f"label_a <> label_b and least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {percent} and least(room_a, room_b) * {100 + percent} >= {percent} * (n_a + n_b)"
+
+
+def _pairs(lists: DataFrame, percent: int, *more: str) -> DataFrame:
+    """All pairs of a list's members of different labels."""
+    return _side(lists, "a", *more).join(_side(lists, "b", *more), "v").where("nid_a < nid_b").where(_fits(percent))
+
+
+def _star(lists: DataFrame, percent: int) -> DataFrame:
+    """Each list's most central member with all others of another label."""
+    center = lists.groupBy("v").agg(F.max(F.struct("central", *(F.col(c).alias(f"{c}_a") for c in ("nid", "n", "room", "label")))).alias("x"))
+    return center.select("v", "x.nid_a", "x.n_a", "x.room_a", "x.label_a").join(_side(lists, "b"), "v").where(_fits(percent))
+
+
 def _union(tables: list[DataFrame]) -> DataFrame:
     out = tables[0]
     for x in tables[1:]:
@@ -216,9 +259,12 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int, k: int, t: i
     """The pairs (a, b) that the estimate on the sketch of the union lets pass."""
     for side in "ab":
         pairs = pairs.join(sketches.toDF(side, f"n_{side}", f"sketch_{side}"), side)
+    whole = f"greatest(n_a, n_b) <= {WHOLE}"  # then the sketches are the sets
+    a, b = (F.when(F.expr(whole), F.col(f"sketch_{side}")).otherwise(F.slice(f"sketch_{side}", 1, k)) for side in "ab")
+    pairs = pairs.withColumns({"sketch_a": a, "sketch_b": b})
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, k)
-    pairs = pairs.withColumn("shared", F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), union)))
-    whole = f"greatest(n_a, n_b) <= {k}"  # then the sketches are the sets
+    common = F.array_intersect("sketch_a", "sketch_b")
+    pairs = pairs.withColumn("shared", F.size(F.when(F.expr(whole), common).otherwise(F.array_intersect(common, union))))
     return materialise(pairs.where(f"if({whole}, shared * 100 >= {percent} * (n_a + n_b - shared), shared >= {t})").select("a", "b"), "looked")
 
 
