@@ -71,4 +71,26 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_tokens": op1_tokens, "op2_decontamination": op2_decontamination, "op3_minhash": op3_minhash, "op4_toxicity": op4_toxicity, "op5_sharding": op5_sharding, "op6_secrets": op6_secrets, "op7_urls": op7_urls, "op8_nearest": op8_nearest, "op9_mixing": op9_mixing, "op10_repeats": op10_repeats}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_minhash": r"""with recursive
+  w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
+  sh as (select doc_id, unnest(list_distinct(case when len(ws) < 2 then ws else list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) end)) as s from w),
+  n as (select doc_id, count(*) as n from sh group by doc_id),
+  both_in as (select a.doc_id as x, b.doc_id as y, count(*) as i from sh a join sh b on a.s = b.s and a.doc_id < b.doc_id group by all),
+  links as (select x, y from both_in join n a on a.doc_id = x join n b on b.doc_id = y where 100 * i >= 80 * (a.n + b.n - i)),
+  edges as (select x, y from links union all select y, x from links),
+  reach as (select doc_id as x, doc_id as y from documents union select r.x, e.y from reach r join edges e on e.x = r.y),
+  least as (select x, min(y) as c from reach group by x)
+  select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, c as component_id, d.doc_id = c as kept from documents d left join n using (doc_id) join least on x = d.doc_id""",
+    "op10_repeats": """with
+  h as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+  starts as (select doc_id, unnest(range(0, length(x) // 2 - 399)) as p, x from h where length(x) >= 800),
+  windows as (select doc_id, p, md5_number(substr(x, 2 * p + 1, 800)) as m from starts),
+  again as (select doc_id, p from windows where m in (select m from windows group by m having count(*) > 1)),
+  marked as (select *, case when p <= lag(p) over (partition by doc_id order by p) + 400 then 0 else 1 end as new from again),
+  spans as (select doc_id, min(p) as a, max(p) + 400 as z from (select *, sum(new) over (partition by doc_id order by p) as g from marked) group by doc_id, g),
+  cuts as (select doc_id, lag(z, 1, 0) over (partition by doc_id order by a) as s, a as e from spans union all select doc_id, max(z), null from spans group by doc_id),
+  kept as (select c.doc_id, string_agg(case when e is null then substr(x, 2 * s + 1) else substr(x, 2 * s + 1, 2 * (e - s)) end, '' order by s) as k from cuts c join h using (doc_id) group by c.doc_id)
+  select h.doc_id, cast(length(x) // 2 as bigint) as n_bytes, cast((length(x) - length(coalesce(k, x))) // 2 as bigint) as n_removed,
+    cast((select count(*) from spans s where s.doc_id = h.doc_id) as bigint) as n_spans, sha256(unhex(coalesce(k, x))) as kept_sha256 from h left join kept using (doc_id)""",
+}
