@@ -7,7 +7,7 @@ import math
 import duckdb
 import pytest
 
-from strandloom.plans import catalogue, interval_queries, stat_queries, table_queries  # noqa: F401
+from strandloom.plans import catalogue, interval_queries, stat_queries, table_queries, udf_queries  # noqa: F401
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
