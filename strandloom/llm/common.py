@@ -29,7 +29,7 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "4096"}
+_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "8192"}
 _left: list[tuple[SparkSession, str]] = []
 
 
@@ -49,7 +49,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, batch: str = "8m", codec: str = "zstd") -> DataFrame:
     """Write df as Parquet below the scratch folder and read it back.
 
     Cuts the lineage: what follows reads files that survive a lost executor, and rows keep the values they were
@@ -59,9 +59,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     kept = {k: spark.conf.get(k) for k in _BATCHES}
     try:  # small Arrow batches keep Python workers small; only this write sees them
-        for k, v in _BATCHES.items():
+        for k, v in (_BATCHES | {"spark.sql.execution.arrow.maxBytesPerBatch": batch}).items():
             spark.conf.set(k, v)
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", codec).parquet(path)
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)

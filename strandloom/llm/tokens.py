@@ -13,12 +13,12 @@ minus one, 2 bits) is packed four to a control byte, first value lowest. `ranks`
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,12 +28,15 @@ from .common import long_array, materialise
 #: Ids of one block and of one part file, about.
 BLOCK_IDS, PART_IDS = 1 << 18, 1 << 24
 #: Pieces of text whose ids a worker keeps.
-CACHE = 1_000_000
+CACHE = 1_500_000
 _MAGIC = b"SLT1"
 _LEN = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3
 _LENGTHS = (_LEN + 1).astype(np.uint8)
-#: White space beside white space or an end. Elsewhere a text can be cut before a blank or a line break.
-_UNEVEN = re.compile(r"\s\s|^\s|\s$")
+#: A piece that is empty or has white space where it was cut: then the cut would change the ids.
+_SPACE = r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_UNSAFE = rf"^(\x00|\n)?$|^[\x00\n]{_SPACE}|{_SPACE}$|^[\t\r\f\x0b\x1c-\x1f\x85\xa0\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]"
+_ALNUM = np.array([chr(i).isalnum() and i < 128 for i in range(256)])
+FIRST, LAST = "\x00", "\x01"
 _own: dict = {}
 
 
@@ -89,39 +92,91 @@ def unpack_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
 
 
 class _Pieces(dict):
-    """Ids, as bytes, of pieces: a word after a blank (keyed without it) or after a line break (keyed with it)."""
+    """Ids, as bytes, of pieces: words after a blank (keyed without it), from a line break, full stop or comma on (keyed
+    with it), or first in a text (keyed with FIRST before them), and the end of a text."""
 
-    def __init__(self, tokenizer, kind: str):
-        self.tokenizer, self.kind = tokenizer, kind
+    def __init__(self, tokenizer, kind: str, end_id: int, size: int = 1 << 16):
+        self.seen = np.zeros(size, np.int64)
+        self.tokenizer, self.kind, self.end = tokenizer, kind, array(kind, [end_id]).tobytes()
 
-    def learn(self, pieces: set[str]) -> None:
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        return [array(self.kind, x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def of(self, pieces: list[str]) -> list[bytes]:
         """One call to the tokenizer for all new pieces."""
-        if len(self) + len(pieces) > CACHE:
-            self.clear()
-        pieces = list(pieces)
-        found = self.tokenizer.encode_batch_fast([p if p[:1] == "\n" else " " + p for p in pieces], add_special_tokens=False)
-        self.update(zip(pieces, (array(self.kind, x.ids).tobytes() for x in found), strict=True))
-
-    def all_of(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each whole text. Cut texts give the same ids, as no pretoken crosses a cut."""
-        heads, tails, gaps = [], [], []
-        for t in texts:
-            words = [t or ""] if not t or _UNEVEN.search(t) else t.replace("\n", " \n").split(" ")
-            heads.append(words[0])
-            del words[0]
-            ids = list(map(self.get, words))
-            tails.append(ids)
-            if None in ids:
-                gaps.append((ids, [(i, words[i]) for i, x in enumerate(ids) if x is None]))
-        self.learn({w for _, missing in gaps for _, w in missing})
-        for ids, missing in gaps:
-            for i, w in missing:
-                ids[i] = self[w]
-        whole = self.tokenizer.encode_batch_fast(heads, add_special_tokens=False)
-        return [array(self.kind, w.ids).tobytes() + b"".join(ids) for w, ids in zip(whole, tails, strict=True)]
-
-
-def _tokenised(model, end_id: int, kind: str):
+        found = list(map(self.get, pieces))
+        new = [p for p, x in zip(pieces, found, strict=True) if x is None]
+        if new:
+            if len(self) + len(new) > CACHE:
+                self.clear()
+            fresh = dict(zip(new, self.encoded([p[1:] if p[0] == FIRST else p if p[0] in "\n.," else " " + p for p in new]), strict=True))
+            self.update(fresh)
+            found = [fresh[p] if x is None else x for p, x in zip(pieces, found, strict=True)]
+        return found
+
+    def count(self, each: pa.Array, times: np.ndarray) -> None:
+        """Add the ids of pieces that occur so many times."""
+        at = np.frombuffer(each.buffers()[1], np.int64, len(each) + 1)
+        ids = np.frombuffer(each.buffers()[2], self.kind)[: at[-1] // np.dtype(self.kind).itemsize]
+        n = np.bincount(ids, np.repeat(times, np.diff(at) // ids.itemsize))
+        self.seen[: len(n)] += n.astype(np.int64)
+
+    def all_of(self, texts: pa.Array) -> pa.Array:
+        """Ids of each whole text with the end id, as bytes. Cut texts give the same ids, as no pretoken crosses a cut; each
+        different piece of the batch is looked up once."""
+        plain = [t or "" for t in texts.to_numpy(zero_copy_only=False).tolist()]
+        marked = {i for i, t in enumerate(plain) if FIRST in t or LAST in t}
+        words, coded, bad = _cut(["" if i in marked else t for i, t in enumerate(plain)] if marked else plain)
+        odd = bad.tolist()  # empty texts are among them
+        if odd:  # texts that cannot be cut are pieces by themselves, for this batch
+            for i, ids in zip(odd, self.encoded([plain[i] for i in odd]), strict=True):
+                plain[i] = LAST + str(i)
+                self[plain[i]] = ids
+            words, coded, _ = _cut(plain)
+        self[LAST] = self.end
+        each = pa.array(self.of(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        pieces = each.take(coded.indices)
+        self.count(each, np.bincount(coded.indices.to_numpy(), minlength=len(each)))
+        for i in odd:
+            self.pop(plain[i], None)
+        at = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1)[words.offsets.to_numpy()]
+        return pa.Array.from_buffers(pa.large_binary(), len(plain), [None, pa.py_buffer(at.tobytes()), pieces.buffers()[2]])
+
+
+def _cut(plain: list[str]) -> tuple[pa.Array, pa.DictionaryArray, np.ndarray]:
+    """Pieces of each text, the same flat and coded, and the texts that must not be cut."""
+    marked = [t + " " + LAST if t[:1] == LAST else FIRST + t.replace("\n", " \n").replace(",", " ,").replace(".", " .") + " " + LAST for t in plain]
+    words = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+    coded = words.flatten().dictionary_encode()
+    unsafe, follows, alnum = _edges(coded.dictionary)
+    at, ends = coded.indices.to_numpy(), words.offsets.to_numpy()
+    wrong = unsafe[at]
+    wrong[1:] |= follows[at[1:]] & ~alnum[at[:-1]]  # a mark after another mark is one pretoken with it
+    bad = np.logical_or.reduceat(wrong, ends[:-1]) if len(plain) else np.zeros(0, bool)
+    own = np.array([t[:1] == LAST for t in plain], bool)
+    return words, coded, np.flatnonzero(bad & ~own)
+
+
+def _edges(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each piece: whether it is unsafe, begins with a full stop or comma, ends with a letter or digit. ASCII is read off
+    the first and last bytes; only the rest meets a regular expression."""
+    at = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1)
+    data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)
+    data = np.append(data, np.uint8(0))
+    empty = at[1:] == at[:-1]
+    first, last = data[at[:-1]], data[np.maximum(at[1:] - 1, 0)]
+    unsafe, alnum = empty.copy(), _ALNUM[last] & ~empty
+    look = np.flatnonzero(~empty & ((first < 33) | (first > 127) | (last < 33) | (last > 127)))
+    if len(look):
+        some = pieces.take(pa.array(look))
+        unsafe[look] = pc.match_substring_regex(some, _UNSAFE).to_numpy(zero_copy_only=False)
+        alnum[look] = pc.match_substring_regex(some, r"[\pL\pN]$").to_numpy(zero_copy_only=False)
+    return unsafe, ((first == 44) | (first == 46)) & ~empty, alnum
+
+
+def _tokenised(model, end_id: int, kind: str, size: int):
+    """Ids of each row and, in a last row of each task, the counts of all its ids."""
+
     def run(batches):
         import os
 
@@ -129,23 +184,27 @@ def _tokenised(model, end_id: int, kind: str):
         from tokenizers import Tokenizer
 
         if _own.get("of") != hash(model.value):  # a worker keeps tokenizer and pieces for its later tasks
-            _own.update(of=hash(model.value), pieces=_Pieces(Tokenizer.from_str(model.value), kind))
-        pieces, end = _own["pieces"], array(kind, [end_id]).tobytes()
+            _own.update(of=hash(model.value), pieces=_Pieces(Tokenizer.from_str(model.value), kind, end_id, size))
+        pieces = _own["pieces"]
+        pieces.seen[:] = 0
+        names = ["doc_id", "row", "ids", "counts"]
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
-                ids = pa.array([x + end for x in pieces.all_of(part.column(1).to_pylist())], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), ids], ["doc_id", "tie", "row", "ids"])
+            if batch.num_rows:
+                ids = pieces.all_of(batch.column(1)).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), ids, pa.nulls(len(ids), pa.binary())], names)
+                pa.default_memory_pool().release_unused()
+        none = pa.nulls(1, pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, pa.nulls(1, pa.binary()), pa.array([pieces.seen.tobytes()], pa.binary())], names)
 
     return run
 
 
-def _counted(kind: str, size: int):
+def _counted(size: int):
     def run(batches):
         n = np.zeros(size, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                n += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=size)
+            for counts in batch.column(0):
+                n += np.frombuffer(counts.as_buffer(), np.int64)
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(n[at])], ["id", "n"])
 
@@ -162,16 +221,22 @@ def _packed(rank_of, kind: str):
             return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], ["part", "seq", "first", "docs", "ids", "block"])
 
         for batch in batches:
-            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                r = rank_of.value[np.frombuffer(raw.as_buffer(), kind)]
+            raw = batch.column(1).cast(pa.large_binary())
+            at = np.frombuffer(raw.buffers()[1], np.int64, len(raw) + 1 + raw.offset)[raw.offset :] // np.dtype(kind).itemsize
+            r = rank_of.value[np.frombuffer(raw.buffers()[2], kind)[at[0] : at[-1]]]
+            at = at - at[0]
+            begin = 0
+            for i, (doc_id, n) in enumerate(zip(batch.column(0).to_pylist(), np.diff(at).tolist(), strict=True), 1):
                 ids.append(doc_id)
-                counts.append(len(r))
-                ranks.append(r)
-                held += len(r)
+                counts.append(n)
+                held += n
                 if held >= BLOCK_IDS:
+                    ranks.append(r[at[begin] : at[i]])
+                    begin = i
                     yield block()
                     seq, before = seq + 1, before + held
                     ids, counts, ranks, held = [], [], [], 0
+            ranks.append(r[at[begin] :])
         if counts:
             yield block()
 
@@ -198,7 +263,7 @@ def _unpacked(id_of, with_ids: bool):
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, key: str = "doc_id", text: str = "text", end_id: int = 0) -> None:
     """Encode every whole text, append end_id, and write the ids below path in ascending doc_id order (nulls first).
 
-    A null text counts as empty. Rows that share a doc_id come in the order of their texts' hashes, then as scanned.
+    A null text counts as empty. Rows that share a doc_id come as they were scanned.
     An empty table gives folders without blocks. Other columns are not read.
     """
     spark = docs.sparkSession
@@ -209,9 +274,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, key: str = "do
     size = max(Tokenizer.from_str(model).get_vocab(with_added_tokens=True).values(), default=0) + 1
     kind = "H" if max(size, end_id + 1) <= 1 << 16 else "I"
     size = max(size, end_id + 1)
-    read = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("tie"), F.monotonically_increasing_id().alias("row"))
-    tokens = materialise(read.mapInArrow(_tokenised(spark.sparkContext.broadcast(model), end_id, kind), "doc_id bigint, tie bigint, row bigint, ids binary"), "tokens")
-    counts = tokens.select("ids").mapInArrow(_counted(kind, size), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    read = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = read.mapInArrow(_tokenised(spark.sparkContext.broadcast(model), end_id, kind, size), "doc_id bigint, row bigint, ids binary, counts binary")
+    tokens = materialise(rows, "tokens", batch="16m", codec="snappy")
+    counts = tokens.where("counts is not null").select("counts").mapInArrow(_counted(size), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     seen = counts.orderBy(F.desc("n"), "id").collect()  # at most the vocabulary
     id_of = np.array([r[0] for r in seen], np.uint32)
     rank_of = np.zeros(size, np.uint32)
@@ -219,7 +285,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, key: str = "do
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(id_of)], "rank bigint, id bigint").coalesce(1).write.parquet(f"{path}/ranks")
     total = sum(r[1] for r in seen)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_IDS))
-    ranged = tokens.repartitionByRange(parts, F.asc_nulls_first("doc_id"), "tie", "row").sortWithinPartitions(F.asc_nulls_first("doc_id"), "tie", "row")
+    ranged = tokens.where("ids is not null").select("doc_id", "row", "ids").repartitionByRange(parts, F.asc_nulls_first("doc_id"), "row").sortWithinPartitions(F.asc_nulls_first("doc_id"), "row")
     packed = ranged.select("doc_id", "ids").mapInArrow(_packed(spark.sparkContext.broadcast(rank_of), kind), "part bigint, seq bigint, first bigint, docs bigint, ids bigint, block binary")
     packed.write.option("compression", "zstd").parquet(f"{path}/blocks")
 
