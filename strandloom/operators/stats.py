@@ -117,24 +117,53 @@ def scaling(distances: np.ndarray, n: int = 2) -> np.ndarray:
 
 
 def linkage(points: np.ndarray, method: str = "ward") -> np.ndarray:
-    """Agglomerative clustering (ward, average, complete, single): rows (left, right, distance, size) as merges happen."""
+    """Agglomerative clustering (ward, average, complete, single): rows (left, right, distance, size) as merges happen.
+
+    Chains of nearest neighbours: time grows with the square of the points, not the cube. Ward distances come from the
+    centroids, so that no matrix of all pairs is held; the other methods hold one.
+    """
     n = len(points)
-    d = np.sqrt(np.maximum(((points[:, None] - points[None]) ** 2).sum(-1), 0))
-    d[np.diag_indices(n)] = np.inf
-    names, sizes, out = list(range(n)), [1] * n, []
-    for step in range(n - 1):
-        i, j = sorted(np.unravel_index(d.argmin(), d.shape))
-        dij, a, b = d[i, j], sizes[i], sizes[j]
-        out.append((min(names[i], names[j]), max(names[i], names[j]), dij, a + b))
-        c = np.array(sizes)
-        if method == "ward":
-            new = np.sqrt(np.maximum(((a + c) * d[i] ** 2 + (b + c) * d[j] ** 2 - c * dij**2) / (a + b + c), 0))
+    sizes, alive, merged, chain = np.ones(n), np.ones(n, bool), [], []
+    centre = np.array(points, float)
+    pairs = None if method == "ward" else np.stack([np.sqrt(((centre - x) ** 2).sum(1)) for x in centre])
+    while len(merged) < n - 1:
+        if not chain:
+            chain.append(int(alive.argmax()))
+        i = chain[-1]
+        if pairs is None:
+            apart = centre - centre[i]
+            d = np.sqrt(np.einsum("ij,ij->i", apart, apart) * (2 * sizes[i] * sizes / (sizes[i] + sizes)))
+        else:
+            d = pairs[i].copy()
+        d[~alive] = d[i] = np.inf
+        j = int(d.argmin())
+        if len(chain) < 2 or d[j] < d[chain[-2]]:
+            chain.append(j)
+            continue
+        a, b = sorted(chain[-2:])  # each is the other's nearest
+        merged.append((d[chain[-2]], a, b))
+        del chain[-2:]
+        if pairs is None:
+            centre[a] = (sizes[a] * centre[a] + sizes[b] * centre[b]) / (sizes[a] + sizes[b])
         else:
-            new = {"average": (a * d[i] + b * d[j]) / (a + b), "complete": np.maximum(d[i], d[j]), "single": np.minimum(d[i], d[j])}[method]
-        new[[i, j]] = np.inf
-        d[i], d[:, i], d[j], d[:, j] = new, new, np.inf, np.inf
-        names[i], sizes[i] = n + step, a + b
-    return np.array(out).reshape(-1, 4)
+            new = {"average": (sizes[a] * pairs[a] + sizes[b] * pairs[b]) / (sizes[a] + sizes[b]), "complete": np.maximum(pairs[a], pairs[b]), "single": np.minimum(pairs[a], pairs[b])}[method]
+            pairs[a], pairs[:, a] = new, new
+        sizes[a] += sizes[b]
+        alive[b] = False
+    up, out = list(range(2 * n - 1)), []  # chains find merges out of order
+    count = [1] * n
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for k, (dij, a, b) in enumerate(sorted(merged)):
+        a, b = sorted((top(a), top(b)))
+        up[a] = up[b] = n + k
+        count.append(count[a] + count[b])
+        out.append((a, b, dij, count[-1]))
+    return np.array(out, float).reshape(-1, 4)
 
 
 def cut_tree(z: np.ndarray, distance: float) -> np.ndarray:
@@ -145,12 +174,9 @@ def cut_tree(z: np.ndarray, distance: float) -> np.ndarray:
         if d <= distance:
             parent[int(a)] = parent[int(b)] = n + i
 
-    def root(i: int) -> int:
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    roots = [root(i) for i in range(n)]
+    for i in range(2 * n - 2, -1, -1):  # a merge comes after what it merges
+        parent[i] = parent[parent[i]]
+    roots = parent[:n]
     order = {r: k for k, r in enumerate(dict.fromkeys(roots), 1)}
     return np.array([order[r] for r in roots])
 
@@ -169,7 +195,7 @@ def tree_order(z: np.ndarray) -> list[int]:
 
 
 def hierarchical(df: DataFrame, row: str, vector: str, distance: float, keys: list[str] | None = None, method: str = "ward") -> DataFrame:
-    """Clusters of each key's rows, keys in parallel; a key's rows must be few, as all pairs of them are compared."""
+    """Clusters of each key's rows, keys in parallel; the time for a key grows with the square of its rows."""
     keys = keys or []
     kinds = dict(df.dtypes)
 

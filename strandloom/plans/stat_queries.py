@@ -86,7 +86,7 @@ def pca(spark, d):
 
 @query("q_fastcluster")
 def fastcluster(spark, d):
-    return S.hierarchical(Tables(spark, d).embeddings.where("vec_id < 200"), "vec_id", "embedding", 2.0, ["label"])
+    return S.hierarchical(Tables(spark, d).embeddings, "vec_id", "embedding", 2.0, ["label"])
 
 
 @query("q_goenrich")
