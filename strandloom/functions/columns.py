@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,12 +103,34 @@ def cigar_segments(cigar: ColumnLike, start: ColumnLike) -> Column:
     return F.aggregate(F.arrays_zip(lengths.alias("lengths"), ops.alias("ops")), zero, step, last)
 
 
+def reading_frames(seq: str) -> list[tuple[int, int]]:
+    """(start, end), 1-based, of each ATG and the last stop that letters alone join to it in frame: one pass over the text."""
+    a = np.frombuffer(seq.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(a) < 6:
+        return []
+    x, y, z = a[:-2], a[1:-1], a[2:]
+    first, second, third = ({c: v == ord(c) for c in "ATG"} for v in (x, y, z))
+    letter = (a >= ord("A")) & (a <= ord("Z"))
+    start = first["A"] & second["T"] & third["G"]
+    stop = first["T"] & ((second["A"] & (third["A"] | third["G"])) | (second["G"] & third["A"]))
+    broken = ~(letter[:-2] & letter[1:-1] & letter[2:])
+    found = []
+    for frame in range(3):
+        starts, stops, breaks = (np.flatnonzero(v[frame::3]) for v in (start, stop, broken))
+        upto = np.append(breaks, len(a))[np.searchsorted(breaks, starts)]
+        last = np.append(-1, stops)[np.searchsorted(stops, upto)]
+        found += [(3 * i + frame + 1, 3 * j + frame + 3) for i, j in zip(starts.tolist(), last.tolist(), strict=True) if j > i]
+    return sorted(found)
+
+
 def orfs(seq: ColumnLike) -> Column:
     """Open reading frames from each ATG to the last in-frame stop, as array<struct<start,end>> (1-based)."""
-    seq = F.upper(_c(seq))
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length(seq) - 5, F.lit(1))), lambda i: F.substring(seq, i, F.lit(3)) == "ATG")
-    found = F.transform(starts, lambda i: F.struct(i.cast("bigint").alias("start"), (i + F.length(F.regexp_extract(F.substring(seq, i, F.length(seq)), r"^(ATG(?:[A-Z]{3})*(?:TAA|TAG|TGA))", 1)) - 1).cast("bigint").alias("end")))
-    return F.filter(found, lambda x: x.end > x.start)
+
+    @F.pandas_udf("array<struct<start:bigint,end:bigint>>")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda s: None if s is None else [{"start": i, "end": j} for i, j in reading_frames(s)])
+
+    return run(F.upper(_c(seq)))
 
 
 # ---- strings -----------------------------------------------------------------------------------------------------

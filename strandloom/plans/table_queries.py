@@ -531,6 +531,7 @@ def parsestr_html(spark, d):
 
 
 _DNA = "translate(substr(lower(text), 1, 400), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')"
+_WHOLE_DNA = "translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')"
 
 
 @query("q_revcomp", f"select doc_id, reverse(translate(regexp_replace({_DNA}, '[^ACGT]', '', 'g'), 'ACGT', 'TGCA')) as seq from documents where text is not null")
@@ -541,7 +542,7 @@ def revcomp(spark, d):
 
 @query("q_findorf")
 def findorf(spark, d):
-    seq = F.regexp_replace(F.expr(_DNA), "[^ACGT]", "")
+    seq = F.regexp_replace(F.expr(_WHOLE_DNA), "[^ACGT]", "")
     return Tables(spark, d).documents.where("text is not null").select("doc_id", F.explode(C.orfs(seq)).alias("x")).select("doc_id", "x.start", "x.end")
 
 

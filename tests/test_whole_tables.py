@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import random
+import re
+
 import numpy as np
 import pytest
 
+from strandloom.functions import columns as C
 from strandloom.operators import stats as S
 from strandloom.plans import catalogue, stat_queries, table_queries  # noqa: F401
 
@@ -47,3 +51,38 @@ def test_fastcluster_has_every_vector(spark):
         points = np.stack(data.loc[rows.index, "embedding"]).astype(float)
         want = {frozenset(rows.index[list(g)]) for g in greedy(points, "ward", 2.0)}
         assert {frozenset(g.index) for _, g in rows.groupby("cluster")} == want
+
+
+def frames(seq):
+    """Each ATG with its last in-frame stop, by walking codons."""
+    out = []
+    for i in range(len(seq) - 2):
+        if seq[i : i + 3] == "ATG":
+            stops = []
+            for j in range(i, len(seq) - 2, 3):
+                if not re.fullmatch("[A-Z]{3}", seq[j : j + 3]):
+                    break
+                if seq[j : j + 3] in ("TAA", "TAG", "TGA"):
+                    stops.append(j + 3)
+            out += [(i + 1, s) for s in stops[-1:]]
+    return out
+
+
+def test_reading_frames():
+    r = random.Random(0)
+    for alphabet in ("ATG", "ACGT", "ATGATGATGATG-", "ATGATGATGATGé\U0001f600N"):
+        for n in [*range(12), 60, 400]:
+            for _ in range(20):
+                seq = "".join(r.choice(alphabet) for _ in range(n))
+                assert C.reading_frames(seq) == frames(seq)
+
+
+def test_findorf_reads_whole_texts(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").where("text is not null").select("doc_id", "text").collect()
+    table = str.maketrans("abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC")
+    seqs = {d.doc_id: re.sub("[^ACGT]", "", d.text.lower().translate(table)) for d in docs}
+    short = {i: seq for i, seq in seqs.items() if len(seq) < 6000}  # the walk takes the square of the length
+    want = [(i, *x) for i, seq in short.items() for x in frames(seq)]
+    got = [tuple(r) for r in catalogue.QUERIES["q_findorf"](spark, DIR).collect()]
+    assert sorted(x for x in got if x[0] in short) == sorted(want)
+    assert max(x[2] for x in got) > 6000
