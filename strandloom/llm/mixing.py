@@ -1,21 +1,24 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source's rows form blocks of equal row counts. Block i of a source with weight q/Q is released at slot floor(iQ/q) and
-due at ceil((i+1)Q/q); earliest-deadline-first over one period of Q slots then keeps each source within less than one
-block of its target at every slot. The pattern repeats, so a block's slot is arithmetic on its number, and the data
-side is DataFrame expressions only. When a source has no block left, a new phase begins with the weights of the rest.
+A source's rows form blocks of equal row counts. The target is a fluid: at any time the sources that still have rows share
+each slot by their exact weights. Once V units of fluid have gone out for each unit of weight, t(V) = sum(min(w V, blocks))
+slots have passed, so block i of a source of weight w is released at slot floor(t(i/w)) and due at ceil(t((i+1)/w)).
+Earliest-deadline-first then keeps each source within less than one block of its target at every slot, through all phases
+(a phase ends when the fluid of a source does). The driver places blocks, one number each; rows stay DataFrame expressions.
 """
 
 from __future__ import annotations
 
+import bisect
 import heapq
+import math
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import json_literal
-
-#: Slots of a period: weights are rounded to this many parts.
+#: Parts that rounded() deals out; schedules take weights as they are.
 PERIOD = 1024
 #: Sources that get a weight of their own, largest first; the rest share a pool whose weight is the sum of theirs.
 MAX_SOURCES = 200
@@ -37,41 +40,68 @@ def rounded(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
 
 def edf_pattern(parts: dict[str, int]) -> dict[str, list[int]]:
     """For each source the slots of one period that its blocks get."""
-    period = sum(parts.values())
-    releases: list[list[tuple[int, str, int]]] = [[] for _ in range(period)]
-    for s, q in parts.items():
-        for i in range(q):
-            releases[i * period // q].append((-(-(i + 1) * period // q), s, i))
-    ready: list[tuple[int, str, int]] = []
-    out: dict[str, list[int]] = {s: [] for s in parts}
-    for slot in range(period):
-        for x in releases[slot]:
-            heapq.heappush(ready, x)
-        out[heapq.heappop(ready)[1]].append(slot)
-    return out
-
-
-def schedule(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> dict[str, list[dict]]:
-    """Phases for each source: from block `b0` on, block b is at slot t0 + (b-b0) div q * Q + pattern[(b-b0) mod q]."""
-    left, done, t0, phase = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0, 0
-    out: dict[str, list[dict]] = {s: [] for s in blocks}
-    while left:
-        parts = rounded({s: weights[s] for s in left}, max(period, 2 * len(left)))
-        pattern, q_all = edf_pattern(parts), sum(parts.values())
-        ends = {s: (n - 1) // parts[s] * q_all + pattern[s][(n - 1) % parts[s]] + 1 for s, n in left.items()}
-        length = min(ends.values())
-        for s in left:
-            out[s].append({"b0": done[s], "t0": t0, "q": parts[s], "big": q_all, "phase": phase, "pat": pattern[s]})
-            used = length // q_all * parts[s] + sum(x < length % q_all for x in pattern[s])
-            done[s] += used
-            left[s] -= used
-        left = {s: n for s, n in left.items() if n}
-        t0, phase = t0 + length, phase + 1
+    return {s: [slot for slot, _, _ in x] for s, x in schedule(parts, parts).items()}
+
+
+def whole_weights(weights: dict[str, float]) -> dict[str, int]:
+    """Integers in exactly the ratios of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(x.denominator for x in exact.values()))
+    return {s: int(x * scale) for s, x in exact.items()}
+
+
+def fluid(blocks: dict[str, int], weights: dict[str, int]):
+    """t at (blocks served) / (weight), as a function that gives numerator and denominator, and the times at which phases end."""
+    ends = sorted((Fraction(n, weights[s]), n, weights[s]) for s, n in blocks.items())
+    before, rates, stops = [0], [sum(weights[s] for s in blocks)], []
+    for v, n, w in ends:
+        stops.append(before[-1] + v * rates[-1])
+        before.append(before[-1] + n)
+        rates.append(rates[-1] - w)
+    levels = [v for v, _, _ in ends]
+
+    def slots(served: int, weight: int) -> tuple[int, int]:
+        k = bisect.bisect_left(levels, Fraction(served, weight))
+        return before[k] * weight + rates[k] * served, weight
+
+    return slots, sorted(set(stops))
+
+
+def schedule(blocks: dict[str, int], weights: dict[str, float]) -> dict[str, list[tuple[int, int, int]]]:
+    """(slot, deadline's slot, phase) of each block of each source. Sources of weight 0 follow all others, as one phase more."""
+    if bad := [s for s in blocks if not 0 <= weights[s] < math.inf]:
+        raise ValueError(f"weights must be finite and not negative: {bad[:5]}")
+    out: dict[str, list[tuple[int, int, int]]] = {s: [] for s in blocks}
+    first = {s: n for s, n in blocks.items() if n and weights[s]}
+    last = {s: n for s, n in blocks.items() if n and not weights[s]}
+    start = phase = 0
+    for left, given in ((first, weights), (last, last)):
+        if not left:
+            continue
+        whole = whole_weights({s: given[s] for s in left})
+        slots, stops = fluid(left, whole)
+        due: list[tuple[int, str]] = []
+        waiting = [(0, s) for s in left]  # by release
+        heapq.heapify(waiting)
+        total, now = sum(left.values()), 0
+        for slot in range(total):
+            while waiting and waiting[0][0] <= slot:
+                s = heapq.heappop(waiting)[1]
+                p, q = slots(len(out[s]) + 1, whole[s])
+                heapq.heappush(due, (-(-p // q), s))
+            deadline, s = heapq.heappop(due)
+            while stops[now] < slot + 1:
+                now += 1
+            out[s].append((start + slot, start + deadline, phase + now))
+            if len(out[s]) < left[s]:
+                p, q = slots(len(out[s]), whole[s])
+                heapq.heappush(waiting, (p // q, s))
+        start, phase = start + total, phase + len(stops)
     return out
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, source: str = "source", key: str = "doc_id",
-                text: str = "text", block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
+                text: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """docs with mix_block (the source's block), mix_slot (its place in the stream), mix_row (place in the block),
     mix_phase and mix_due (the deadline's slot). Sorted by (mix_slot, mix_row) this is the mixed stream.
 
@@ -91,21 +121,21 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, source
     if not counts:
         return docs.withColumns({c: F.lit(0).cast("int" if c in ("mix_row", "mix_phase") else "bigint") for c in names})
     target = {s: float((weights or {}).get("null" if s == _NULL else s, n**0.5)) for s, n in counts.items()}
-    plan = schedule({s: -(-n // block_rows) for s, n in counts.items()}, target, period)
-    phases = F.create_map(*[x for s, p in plan.items() for x in (F.lit(s), json_literal(p, "array<struct<b0:bigint,t0:bigint,q:bigint,big:bigint,phase:int,pat:array<int>>>"))])
+    plan = schedule({s: -(-n // block_rows) for s, n in counts.items()}, target)
+    columns = ([s for s, x in plan.items() for _ in x], [b for x in plan.values() for b in range(len(x))], *zip(*(y for x in plan.values() for y in x), strict=True))
+    kinds = {"__src": pa.string(), "__block": pa.int64(), "mix_slot": pa.int64(), "mix_due": pa.int64(), "mix_phase": pa.int32()}
+    placed = docs.sparkSession.createDataFrame(pa.table([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds)))
 
     buckets = -(-sum(counts.values()) // ROWS_PER_BUCKET) * 16
     based = based.withColumn("__sub", F.pmod("__hash", F.lit(buckets)))
     sizes = based.groupBy("__src", "__sub").agg(F.count("*").alias("__rows"))
-    before = sizes.withColumn("__first", F.coalesce(F.sum("__rows").over(Window.partitionBy("__src").orderBy("__sub").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__rows")
+    before = sizes.withColumn("__first", F.coalesce(F.sum("__rows").over(Window.partitionBy("__src").orderBy("__sub").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # The blocks that a bucket touches go to its row, so that texts meet their slots by the key by which they are numbered.
+    cut = before.withColumn("__block", F.explode(F.expr(f"sequence(__first div {block_rows}, (__first + __rows - 1) div {block_rows})")))
+    slots = cut.join(placed, ["__src", "__block"]).groupBy("__src", "__sub", "__first").agg(F.array_sort(F.collect_list(F.struct("__block", "mix_slot", "mix_due", "mix_phase"))).alias("__slots"))
     order = Window.partitionBy("__src", "__sub").orderBy("__hash", key)
-    out = based.withColumn("__n", F.row_number().over(order) - 1).join(before, ["__src", "__sub"])
+    out = based.withColumn("__n", F.row_number().over(order) - 1).join(slots, ["__src", "__sub"])
     out = out.withColumn("__n", F.col("__first") + F.col("__n")).withColumns({"mix_block": F.expr(f"__n div {block_rows}"), "mix_row": F.expr(f"cast(__n % {block_rows} as int)")})
-    out = out.withColumn("__p", F.element_at(F.filter(F.element_at(phases, F.col("__src")), lambda p: p.b0 <= F.col("mix_block")), -1))
-    out = out.withColumn("__i", F.col("mix_block") - F.col("__p.b0"))
-    out = out.withColumns({
-        "mix_slot": F.expr("__p.t0 + (__i div __p.q) * __p.big + get(__p.pat, cast(__i % __p.q as int))"),
-        "mix_phase": F.col("__p.phase"),
-        "mix_due": F.expr("__p.t0 + ceil((__i + 1) * __p.big / __p.q)"),
-    })
+    out = out.withColumn("__p", F.expr(f"get(__slots, cast(mix_block - __first div {block_rows} as int))"))
+    out = out.withColumns({c: F.col(f"__p.{c}") for c in ("mix_slot", "mix_phase", "mix_due")})
     return out.select(*docs.columns, *names)
