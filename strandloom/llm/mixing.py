@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 
 #: Parts that rounded() deals out; schedules take weights as they are.
 PERIOD = 1024
-#: Sources that get a weight of their own, largest first; the rest share a pool whose weight is the sum of theirs.
+#: No longer a cap, every source has its own weight; the name stays for callers that set it.
 MAX_SOURCES = 200
 BLOCK_ROWS = 64
 ROWS_PER_BUCKET = 50_000
-_POOL, _NULL = "\x01pool", "\x01null"
+_NULL = "\x01null"
 
 
 def rounded(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
@@ -113,11 +113,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, source
     names = ["mix_block", "mix_slot", "mix_row", "mix_phase", "mix_due"]
     docs = docs.drop(*names)
     based = docs.withColumns({"__src": F.coalesce(F.col(source).cast("string"), F.lit(_NULL)), "__hash": F.xxhash64(key, text)})
-    counts = {r[0]: r[1] for r in based.groupBy("__src").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "__src").limit(MAX_SOURCES + 1).collect()}
-    if len(counts) > MAX_SOURCES:  # one aggregate more for the pool's size
-        own = list(counts)[:MAX_SOURCES]
-        based = based.withColumn("__src", F.when(F.col("__src").isin(own), F.col("__src")).otherwise(F.lit(_POOL)))
-        counts = {r[0]: r[1] for r in based.groupBy("__src").count().collect()}
+    counts = {r[0]: r[1] for r in based.groupBy("__src").count().collect()}
     if not counts:
         return docs.withColumns({c: F.lit(0).cast("int" if c in ("mix_row", "mix_phase") else "bigint") for c in names})
     target = {s: float((weights or {}).get("null" if s == _NULL else s, n**0.5)) for s, n in counts.items()}

@@ -52,6 +52,13 @@ def test_hot_source_keeps_its_target(spark):
     assert worst(stream(spark, rows, weights), rows, weights) < 1
 
 
+def test_each_of_many_sources_keeps_its_target(spark):
+    """More sources than were once scheduled by themselves; the smallest is given a weight."""
+    rows = {f"s{i:03}": 3 for i in range(230)} | {"small": 2}
+    weights = dict.fromkeys(rows, 1) | {"small": 77}
+    assert worst(stream(spark, rows, weights), rows, weights) < 1
+
+
 @pytest.mark.parametrize("weights", [{"a": 1, "b": 1, "c": 1}, {"a": 0.1, "b": 7.3, "c": 1e-3}, {"a": 1e9, "b": 3, "c": 2**0.5}])
 def test_schedule_is_exact(weights):
     blocks = {"a": 300, "b": 41, "c": 7}
