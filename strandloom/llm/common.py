@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import json
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +16,11 @@ from ..session import ship
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that the session names in spark.checkpoint.dir; a temporary one only where it is unset (tests)."""
+    """The folder that the session names in spark.checkpoint.dir; a temporary one where it is unset and all run in one process."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="strandloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -29,7 +33,13 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "8192"}
+#: Settings of a write: small Arrow batches keep Python workers small; Spark removes a write's shuffle files as it ends.
+_WRITE = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "8192",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+_lock = threading.Lock()
+_writers: dict[int, tuple[int, dict[str, str]]] = {}
 _left: list[tuple[SparkSession, str]] = []
 
 
@@ -49,25 +59,44 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def _writing(spark: SparkSession, batch: str):
+    """The settings of a write; the first writer of a session keeps what was set, the last one sets it again."""
+    with _lock:
+        n, kept = _writers.get(id(spark), (0, None))
+        kept = kept or {k: spark.conf.get(k) for k in _WRITE}
+        _writers[id(spark)] = n + 1, kept
+        for k, v in (_WRITE | {"spark.sql.execution.arrow.maxBytesPerBatch": batch}).items():
+            spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        with _lock:
+            n, kept = _writers.pop(id(spark))
+            if n > 1:
+                _writers[id(spark)] = n - 1, kept
+            else:
+                for k, v in kept.items():
+                    spark.conf.set(k, v)
+
+
 def materialise(df: DataFrame, name: str, batch: str = "8m", codec: str = "zstd") -> DataFrame:
     """Write df as Parquet below the scratch folder and read it back.
 
     Cuts the lineage: what follows reads files that survive a lost executor, and rows keep the values they were
-    first given. The table is removed when the driver's process ends.
+    first given. The table is removed when the driver's process ends, or by discard().
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    kept = {k: spark.conf.get(k) for k in _BATCHES}
-    try:  # small Arrow batches keep Python workers small; only this write sees them
-        for k, v in (_BATCHES | {"spark.sql.execution.arrow.maxBytesPerBatch": batch}).items():
-            spark.conf.set(k, v)
+    with _writing(spark, batch):
         df.write.option("compression", codec).parquet(path)
-    finally:
-        for k, v in kept.items():
-            spark.conf.set(k, v)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._strandloom_path = path
-    return out
+    return tabled(spark.read.schema(df.schema).parquet(path), path)
+
+
+def tabled(df: DataFrame, path: str | None) -> DataFrame:
+    """df, whose rows lie in the table at path, so that discard() finds it."""
+    df._strandloom_path = path
+    return df
 
 
 def discard(*tables: DataFrame | None) -> None:
@@ -75,8 +104,6 @@ def discard(*tables: DataFrame | None) -> None:
     for df in tables:
         if path := getattr(df, "_strandloom_path", None):
             delete(df.sparkSession, path)
-    if tables:
-        tables[0].sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files that fed them
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

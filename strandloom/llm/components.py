@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise
+from .common import discard, materialise, tabled
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for each end of a link (a, b); ends that reach each other share the label.
 
     Each turn hooks a node to its smallest neighbour, follows the hooks twice, and contracts the links; the links
-    that remain shrink to none. Hubs are aggregated map-side, and no component is ever gathered in one place.
+    that remain shrink to none. Hubs are aggregated map-side, and no component is ever gathered in one place. The result
+    is a table of its own, which the caller may discard.
     """
     pair = F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     left = materialise(links.where("a <> b").select(pair.alias("x")).select("x.*").distinct(), "links")
@@ -24,14 +25,14 @@ def components(links: DataFrame) -> DataFrame:
             onto = hook.select(F.col("a").alias("p"), F.col("p").alias("pp"))
             hook = hook.join(onto, "p").select("a", F.col("pp").alias("p"))
         hook = materialise(hook, "hooks")
-        if labels is None:
-            labels = hook.select(F.col("a").alias("node"), F.col("p").alias("label"))
-        else:
-            onto = hook.select(F.col("a").alias("label"), "p")
-            labels = labels.join(onto, "label", "left").select("node", F.coalesce("p", "label").alias("label"))
-            labels = materialise(labels, "labels")
         to_a, to_b = hook.select("a", F.col("p").alias("pa")), hook.select(F.col("a").alias("b"), F.col("p").alias("pb"))
         moved = left.join(to_a, "a").join(to_b, "b").where("pa <> pb")
         old, left = left, materialise(moved.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "links")
         discard(old)
-    return left.select(F.col("a").alias("node"), F.col("b").alias("label")) if labels is None else labels
+        if labels is None:  # the first hooks are the first labels
+            labels = tabled(hook.select(F.col("a").alias("node"), F.col("p").alias("label")), hook._strandloom_path)
+        else:
+            onto = hook.select(F.col("a").alias("label"), "p")
+            old, labels = labels, materialise(labels.join(onto, "label", "left").select("node", F.coalesce("p", "label").alias("label")), "labels")
+            discard(old, hook)
+    return tabled(left.select(F.col("a").alias("node"), F.col("b").alias("label")), left._strandloom_path) if labels is None else labels

@@ -29,6 +29,8 @@ MISS = 1e-9
 SMALL_LIST = 16
 #: As K and WHOLE, for the finer index of the members of larger lists.
 FINE_K, FINE_WHOLE = 256, 512
+#: Entries of a list that meet in one task's key.
+SPREAD = 256
 #: Node ids that may be broadcast, counted before.
 BROADCAST_ROWS = 50_000
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -115,10 +117,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     takes part in no group: its component is null and it is kept. Other columns of docs are not read.
     """
     texts = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    rows = materialise(texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sketches(width, k), "doc_id bigint, n bigint, fp binary, sketch array<bigint>, text_hash bigint"), "sketches")
-    nodes = rows.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    read = materialise(texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sketches(width, k), "doc_id bigint, n bigint, fp binary, sketch array<bigint>, text_hash bigint"), "sketches")
+    nodes = read.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     nodes = materialise(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
-    labels = components(_links(nodes, texts, rows, width, percent, k))
+    rows = materialise(read.drop("sketch"), "rows")
+    discard(read)
+    links = _links(nodes, texts, rows, width, percent, k)
+    labels = components(_union(links))
+    discard(*links)
     named = nodes.select("nid", "fp", "rep").join(labels.withColumnRenamed("node", "nid"), "nid", "left")
     linked = named.where("label is not null")
     least = linked.groupBy("label").agg(F.min("rep").alias("least"))
@@ -140,7 +146,7 @@ def drop_duplicates(docs: DataFrame, groups: DataFrame, key: str = "doc_id", tex
 
 
 def _index(nodes: DataFrame, percent: int, k: int, whole: int, miss: float) -> DataFrame:
-    """nid, n, held, central and vs: the retained values by which a node (nid, n, sketch) is indexed, rarest first.
+    """nid, n, held, central and vs: the retained values (df, v) by which a node (nid, n, sketch) is indexed, rarest first.
 
     A whole set meets other whole sets, of which it must share percent of its own size, under its own values; a sketch
     meets sketches, of which it must share the least overlap, under their complements. Sets whose partners may be of
@@ -154,25 +160,35 @@ def _index(nodes: DataFrame, percent: int, k: int, whole: int, miss: float) -> D
     shared = roles.select("nid", "role", F.explode("vs").alias("v")).join(df, "v").groupBy("nid", "role").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
     lists = shared.join(roles.select("nid", "role", "n", "need"), ["nid", "role"]).where(F.size("vs") >= F.col("need"))
     central = F.aggregate("vs", F.lit(0.0), lambda x, y: x + F.log2(y.df))  # most shares with most others
-    vs = F.slice(F.col("vs.v"), 1, F.size("vs") - F.col("need") + 1)
+    vs = F.slice("vs", 1, F.size("vs") - F.col("need") + 1)
     held = F.when(F.col("role") == 0, F.size("vs").cast("bigint"))  # of a whole set, the values that another set has
     return materialise(lists.select("nid", "n", held.alias("held"), central.alias("central"), vs.alias("vs")), "lists")
 
 
 def _entries(lists: DataFrame) -> DataFrame:
-    """A row for each list v that a node is in; room is the largest overlap with a set that has none of its rarer values."""
+    """A row for each list v that a node is in; room is the largest overlap with a set that has none of its rarer values.
+
+    A list whose value df nodes hold is dealt over `parts` keys, SPREAD entries each, so that no list is one task's.
+    """
     room = F.coalesce(F.col("held") - F.col("place"), F.col("n"))
-    return lists.select("*", F.posexplode("vs").alias("place", "v")).withColumn("room", room).drop("held", "place")
+    out = lists.select("*", F.posexplode("vs").alias("place", "x")).withColumns({"room": room, "v": F.col("x.v"), "parts": F.expr(f"x.df div {SPREAD} + 1")})
+    return out.withColumn("part", F.pmod(F.xxhash64("nid"), F.col("parts"))).drop("held", "place", "x")
+
+
+def _on_all_parts(lists: DataFrame) -> DataFrame:
+    """Rows of one a list (v, parts) for each part of the list."""
+    return lists.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))).drop("parts")
 
 
-def _links(nodes: DataFrame, texts: DataFrame, rows: DataFrame, width: int, percent: int, k: int) -> DataFrame:
-    """Confirmed pairs that connect every component: a star in each list of the sketches; where members are still apart,
+def _links(nodes: DataFrame, texts: DataFrame, rows: DataFrame, width: int, percent: int, k: int) -> list[DataFrame]:
+    """Tables of confirmed pairs that connect every component: a star in each list of the sketches; where members are still apart,
     all pairs of short lists, and for the members of long ones a finer index of the same kind, its stars, and the pairs
     that are apart after that."""
     t = least_overlap(k, percent / 100)
     lists = _index(nodes, percent, k, WHOLE, MISS)
-    high = F.transform("sketch", lambda x: F.shiftrightunsigned(x, 33).cast("int"))  # enough for an estimate that never falls short
-    sketches = materialise(nodes.join(lists.select("nid").distinct(), "nid", "left_semi").select("nid", "n", high.alias("sketch")), "short")
+    high = F.transform("sketch", lambda x: F.shiftrightunsigned(x, 33).cast("int"))
+    twice = F.size("sketch") - F.size(F.array_distinct(high))  # values that fall together there, by which a count may be short
+    sketches = materialise(nodes.join(lists.select("nid").distinct(), "nid", "left_semi").select("nid", "n", twice.alias("twice"), high.alias("sketch")), "short")
     sets: list[DataFrame] = []
     found: list[DataFrame] = []
 
@@ -190,23 +206,30 @@ def _links(nodes: DataFrame, texts: DataFrame, rows: DataFrame, width: int, perc
         looked = _estimated(pairs, sketches, percent, k, t)
         want(looked.select(F.col("a").alias("nid")).unionByName(looked.select(F.col("b").alias("nid"))).distinct())
         found.append(_confirmed(looked, _union(sets), percent) if sets else looked)
+        if sets:
+            discard(looked)
 
     def apart(lists: DataFrame) -> DataFrame:
         """Rows (list v, member, label) of the lists whose members have different labels."""
-        known = lists.join(components(_union(found)).withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
+        labels = components(_union(found))
+        known = lists.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
         each = _entries(known)
-        mixed = each.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("v", "m")
-        return materialise(each.join(mixed, "v"), "apart")
+        mixed = each.groupBy("v", "parts").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("v", "parts", "m")
+        out = materialise(each.join(_on_all_parts(mixed), ["v", "part"]), "apart")
+        discard(labels)
+        return out
 
     look(_star(_entries(lists.withColumn("label", F.col("nid"))).drop("vs"), percent))
     rest = apart(lists)
     if rest.isEmpty():
-        return _union(found)
+        discard(rest, lists, sketches, *sets)
+        return found
     look(_pairs(rest.where(F.col("m") <= SMALL_LIST), percent))  # a bounded number of pairs for each entry
     members = materialise(rest.where(F.col("m") > SMALL_LIST).select("nid").distinct(), "members")
-    discard(rest)
+    discard(rest, lists)
     if members.isEmpty():
-        return _union(found)
+        discard(members, sketches, *sets)
+        return found
     want(members)
     finer = _union(sets).join(members, "nid", "left_semi").select("nid", F.size("members").cast("bigint").alias("n"), F.when(F.size("members") <= FINE_WHOLE, F.col("members")).otherwise(F.slice("members", 1, FINE_K)).alias("sketch"))
     lists = _index(finer, percent, FINE_K, FINE_WHOLE, MISS)
@@ -215,13 +238,13 @@ def _links(nodes: DataFrame, texts: DataFrame, rows: DataFrame, width: int, perc
     discard(rest)
     rest = apart(lists)
     if not rest.isEmpty():  # all that are left, each pair in the first list that has both
-        look(_pairs(rest, percent, "vs").where("v = get(array_intersect(vs_a, vs_b), 0)"))
-    discard(rest, *sets, sketches)
-    return _union(found)
+        look(_pairs(rest, percent, "vs").where("v = get(array_intersect(vs_a.v, vs_b.v), 0)"))
+    discard(rest, lists, members, sketches, *sets)
+    return found
 
 
 def _side(lists: DataFrame, side: str, *more: str) -> DataFrame:
-    return lists.select("v", *(F.col(c).alias(f"{c}_{side}") for c in ("nid", "n", "room", "label", *more)))
+    return lists.select("v", "part", *(F.col(c).alias(f"{c}_{side}") for c in ("nid", "n", "room", "label", *more)))
 
 
 def _fits(percent: int) -> str:
@@ -229,14 +252,19 @@ def _fits(percent: int) -> str:
 
 
 def _pairs(lists: DataFrame, percent: int, *more: str) -> DataFrame:
-    """All pairs of a list's members of different labels."""
-    return _side(lists, "a", *more).join(_side(lists, "b", *more), "v").where("nid_a < nid_b").where(_fits(percent))
+    """All pairs of a list's m members of different labels, by pairs of its parts."""
+    lists = lists.withColumn("parts", F.expr(f"m div {SPREAD} + 1")).withColumn("part", F.pmod(F.xxhash64("nid"), F.col("parts")))
+    a = _side(lists.withColumn("other", F.explode(F.expr("sequence(part, parts - 1)"))), "a", *more, "other")
+    b = _side(lists.withColumn("first", F.explode(F.expr("sequence(0L, part)"))), "b", *more, "first")
+    b = b.withColumnsRenamed({"part": "other_a", "first_b": "part"})
+    return a.join(b, ["v", "part", "other_a"]).where("part <> other_a or nid_a < nid_b").where(_fits(percent))
 
 
 def _star(lists: DataFrame, percent: int) -> DataFrame:
     """Each list's most central member with all others of another label."""
-    center = lists.groupBy("v").agg(F.max(F.struct("central", *(F.col(c).alias(f"{c}_a") for c in ("nid", "n", "room", "label")))).alias("x"))
-    return center.select("v", "x.nid_a", "x.n_a", "x.room_a", "x.label_a").join(_side(lists, "b"), "v").where(_fits(percent))
+    center = lists.groupBy("v", "parts").agg(F.max(F.struct("central", *(F.col(c).alias(f"{c}_a") for c in ("nid", "n", "room", "label")))).alias("x"))
+    center = _on_all_parts(center.select("v", "parts", "x.nid_a", "x.n_a", "x.room_a", "x.label_a"))
+    return center.join(_side(lists, "b"), ["v", "part"]).where(_fits(percent))
 
 
 def _union(tables: list[DataFrame]) -> DataFrame:
@@ -251,20 +279,27 @@ def _set_table(texts: DataFrame, rows: DataFrame, wanted: DataFrame, n: int, wid
     few = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted  # 32 bytes a row
     out = materialise(texts.join(few, "doc_id").select("nid", "fp", "text").mapInArrow(_sets(width), "nid bigint, members array<bigint>"), "sets")
     if rows.select("doc_id", "fp").join(few, ["doc_id", "fp"]).count() > n:  # rows that repeat both id and text
-        out = materialise(out.groupBy("nid").agg(F.first("members").alias("members")), "sets")
+        again = out
+        out = materialise(again.groupBy("nid").agg(F.first("members").alias("members")), "sets")
+        discard(again)
     return out
 
 
 def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int, k: int, t: int) -> DataFrame:
-    """The pairs (a, b) that the estimate on the sketch of the union lets pass."""
+    """The pairs (a, b) that the estimate on the sketch of the union lets pass.
+
+    Sketches hold the high 31 bits of values. Common values that fall together there count once in an intersection of
+    the sketches, but no more of them than fall together in either sketch; so the count plus that never falls short.
+    """
     for side in "ab":
-        pairs = pairs.join(sketches.toDF(side, f"n_{side}", f"sketch_{side}"), side)
+        pairs = pairs.join(sketches.toDF(side, f"n_{side}", f"twice_{side}", f"sketch_{side}"), side)
     whole = f"greatest(n_a, n_b) <= {WHOLE}"  # then the sketches are the sets
     a, b = (F.when(F.expr(whole), F.col(f"sketch_{side}")).otherwise(F.slice(f"sketch_{side}", 1, k)) for side in "ab")
     pairs = pairs.withColumns({"sketch_a": a, "sketch_b": b})
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, k)
     common = F.array_intersect("sketch_a", "sketch_b")
-    pairs = pairs.withColumn("shared", F.size(F.when(F.expr(whole), common).otherwise(F.array_intersect(common, union))))
+    shared = F.size(F.when(F.expr(whole), common).otherwise(F.array_intersect(common, union))) + F.least("twice_a", "twice_b")
+    pairs = pairs.withColumn("shared", shared)
     return materialise(pairs.where(f"if({whole}, shared * 100 >= {percent} * (n_a + n_b - shared), shared >= {t})").select("a", "b"), "looked")
 
 

@@ -128,6 +128,24 @@ def test_near_duplicates_of_one_large_group(spark, monkeypatch):
     assert collected(minhash.near_duplicates(frame(spark, data)).drop("text_hash")) == brute_groups(data, 2, 80)
 
 
+def test_a_link_at_the_threshold_whose_values_agree_in_high_bits(spark):
+    """Shingles (p27002 q27002) and (p66888 q66888) have hashes that agree in 31 bits; 80 of 100 shingles are common."""
+    long = ["p27002", "q27002", "m", "p66888", "q66888", *(f"f{i}" for i in range(96))]
+    data = [(1, " ".join(long), *[None] * 7), (2, " ".join(long[:81]), *[None] * 7)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame(spark, data)).collect()}
+    assert got == {1: (100, 1), 2: (80, 1)}
+
+
+@pytest.mark.parametrize("spread", [256, 3])
+def test_lists_are_dealt_over_parts(spark, monkeypatch, spread):
+    """All members of one long list, far from each other but for a chain of neighbours."""
+    monkeypatch.setattr(minhash, "SMALL_LIST", 2)
+    monkeypatch.setattr(minhash, "SPREAD", spread)
+    base = words(17, 60).split()
+    data = [(i, " ".join([*words(40, 30).split(), *base[i : i + 25], *words(40, 12).split()]), *[None] * 7) for i in range(30)]
+    assert collected(minhash.near_duplicates(frame(spark, data)).drop("text_hash")) == brute_groups(data, 2, 80)
+
+
 def test_drop_duplicates_keeps_one_of_each_group(spark):
     d = frame(spark)
     left = minhash.drop_duplicates(d, minhash.near_duplicates(d, width=2))
