@@ -31,6 +31,8 @@ SMALL_LIST = 16
 FINE_K, FINE_WHOLE = 256, 512
 #: Entries of a list that meet in one task's key.
 SPREAD = 256
+#: Keys over which the last pairing deals a list longer than that.
+PARTS = 8
 #: Node ids that may be broadcast, counted before.
 BROADCAST_ROWS = 50_000
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -210,11 +212,12 @@ def _links(nodes: DataFrame, texts: DataFrame, rows: DataFrame, width: int, perc
             discard(looked)
 
     def apart(lists: DataFrame) -> DataFrame:
-        """Rows (list v, member, label) of the lists whose members have different labels."""
+        """Rows (list v, member, label) of the lists whose members have different labels, with the list's size m and its commonest label."""
         labels = components(_union(found))
         known = lists.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
         each = _entries(known)
-        mixed = each.groupBy("v", "parts").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("v", "parts", "m")
+        named = each.groupBy("v", "parts", "label").agg(F.count("*").alias("c"))
+        mixed = named.groupBy("v", "parts").agg(F.max(F.struct("c", "label")).alias("main"), F.sum("c").alias("m")).where("main.c < m").select("v", "parts", "m", "main.label").withColumnRenamed("label", "main")
         out = materialise(each.join(_on_all_parts(mixed), ["v", "part"]), "apart")
         discard(labels)
         return out
@@ -252,12 +255,10 @@ def _fits(percent: int) -> str:
 
 
 def _pairs(lists: DataFrame, percent: int, *more: str) -> DataFrame:
-    """All pairs of a list's m members of different labels, by pairs of its parts."""
-    lists = lists.withColumn("parts", F.expr(f"m div {SPREAD} + 1")).withColumn("part", F.pmod(F.xxhash64("nid"), F.col("parts")))
-    a = _side(lists.withColumn("other", F.explode(F.expr("sequence(part, parts - 1)"))), "a", *more, "other")
-    b = _side(lists.withColumn("first", F.explode(F.expr("sequence(0L, part)"))), "b", *more, "first")
-    b = b.withColumnsRenamed({"part": "other_a", "first_b": "part"})
-    return a.join(b, ["v", "part", "other_a"]).where("part <> other_a or nid_a < nid_b").where(_fits(percent))
+    """All pairs of a list's members of different labels: members of other labels than the list's commonest, with all."""
+    lists = lists.withColumn("parts", F.expr(f"if(m > {SPREAD}, {PARTS}L, 1L)")).withColumn("part", F.pmod(F.xxhash64("nid"), F.col("parts")))
+    a = _side(_on_all_parts(lists.where("label <> main").drop("part")), "a", *more)
+    return a.join(_side(lists, "b", *more, "main"), ["v", "part"]).where("label_b = main_b or nid_a < nid_b").where(_fits(percent))
 
 
 def _star(lists: DataFrame, percent: int) -> DataFrame:
