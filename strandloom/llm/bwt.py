@@ -11,29 +11,47 @@ from __future__ import annotations
 import numpy as np
 
 
+def _sorted(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order of keys of so many bits, and where a new key begins in it; the place is sorted along where it fits."""
+    n = len(keys)
+    width = n.bit_length()
+    if bits + width <= 63:
+        packed = np.sort(keys << width | np.arange(n))
+        order, found = packed & ((1 << width) - 1), packed >> width
+    else:
+        order = np.argsort(keys, kind="stable")
+        found = keys[order]
+    return order, np.append(True, found[1:] != found[:-1])
+
+
 def suffix_order(text: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array and its inverse, right to `depth` symbols. text: bytes + 1, with 0 at the sentinels, whose places are `ends`."""
     n = len(text)
-    gap = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)  # distance to the own sentinel
-    key, h = np.zeros(n, np.uint64), 6
-    for j in range(h):  # six symbols of 9 bits
-        shifted = np.zeros(n, np.uint64)
-        shifted[: max(n - j, 0)] = text[j:]
-        shifted[gap < j] = 0
-        key = (key << np.uint64(9)) | shifted
-    own = np.where(gap < h, np.searchsorted(ends, np.arange(n)) + 1, 0)
-    order = np.lexsort((own, key))
-    new = np.ones(n, bool)
-    new[1:] = (key[order][1:] != key[order][:-1]) | (own[order][1:] != own[order][:-1])
-    rank = np.empty(n, np.int64)
-    rank[order] = np.cumsum(new) - 1
-    while h < depth and rank[order[-1]] < n - 1:
-        second = np.zeros(n, np.int64)
-        second[: max(n - h, 0)] = rank[h:] + 1
-        key = rank * (n + 1) + second
-        order = np.argsort(key)
-        new[1:] = key[order][1:] != key[order][:-1]
-        rank[order] = np.cumsum(new) - 1
+    width = n.bit_length()
+    gap = np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(n)  # distance to the own sentinel
+    used = np.zeros(257, np.int64)
+    used[text] = 1
+    symbols, bits = (np.cumsum(used) - used[0])[text], max(int(used.sum()).bit_length(), 1)
+    symbols[ends] = 0
+    h, key = max((63 - width) // bits, 1), np.zeros(n, np.int64)
+    for j in range(h):
+        shifted = np.zeros(n, np.int64)
+        shifted[: max(n - j, 0)] = symbols[j:]
+        if j:
+            shifted[gap < j] = 0
+        key = key << bits | shifted
+    order, new = _sorted(key, h * bits)
+    new |= gap[order] < h  # sentinels differ, in the order of the strings
+    rank = np.empty(n, np.int64)  # the first place of the suffixes that are alike so far
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    at = np.flatnonzero(~(new & np.append(new[1:], True)))
+    while h < depth and len(at):  # only those that are alike are sorted on
+        alike = order[at]
+        by, new = _sorted(rank[alike] << width | rank[alike + h], 2 * width)
+        alike = alike[by]
+        order[at] = alike
+        rank[alike] = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
+        at = at[~(new & np.append(new[1:], True))]
         h *= 2
     inverse = np.empty(n, np.int64)
     inverse[order] = np.arange(n)
@@ -70,9 +88,8 @@ def repeated_starts(strings: list[bytes], length: int) -> list[np.ndarray]:
         group, to = which[kept] * 257 + symbol[rows[kept]], step[rows[kept]]
         if not len(group):
             break
-        by = np.argsort(group, kind="stable")
-        group, to = group[by], to[by]
-        first = np.flatnonzero(np.diff(group, prepend=-1))
+        by, new = _sorted(group, (len(low) * 257).bit_length())
+        to, first = to[by], np.flatnonzero(new)
         low, high = np.minimum.reduceat(to, first), np.maximum.reduceat(to, first)
         fresh = ~known[high + 1]
         low, high = low[fresh], high[fresh]
