@@ -87,7 +87,13 @@ SQL: dict[str, str] = {
   marked as (select *, case when p <= lag(p) over (partition by doc_id order by p) + 400 then 0 else 1 end as new from again),
   spans as (select doc_id, min(p) as a, max(p) + 400 as z from (select *, sum(new) over (partition by doc_id order by p) as g from marked) group by doc_id, g),
   cuts as (select doc_id, lag(z, 1, 0) over (partition by doc_id order by a) as s, a as e from spans union all select doc_id, max(z), null from spans group by doc_id),
-  kept as (select c.doc_id, string_agg(case when e is null then substr(x, 2 * s + 1) else substr(x, 2 * s + 1, 2 * (e - s)) end, '' order by s) as k from cuts c join h using (doc_id) group by c.doc_id)
+  kept as (select c.doc_id, string_agg(case when e is null then substr(x, 2 * s + 1) else substr(x, 2 * s + 1, 2 * (e - s)) end, '' order by s) as k from cuts c join h using (doc_id) group by c.doc_id),
+  w as (select doc_id, md5(text) as t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
+  each_word as (select doc_id, t, len(ws) as n, unnest(ws) as word, generate_subscripts(ws, 1) as i from w where len(ws) >= 51),
+  passages as (select * from (select doc_id, t, i, n, md5_number(string_agg(word, ' ') over (partition by doc_id, t order by i rows between current row and 50 following)) as m from each_word) where i <= n - 50),
+  elsewhere as (select m from passages group by m having count(distinct (doc_id, t)) > 1),
+  covered as (select doc_id, t, sum(step) as c from (select doc_id, t, least(51, coalesce(i - lag(i) over (partition by doc_id, t order by i), 51)) as step from passages where m in (select m from elsewhere)) group by doc_id, t)
   select h.doc_id, cast(length(x) // 2 as bigint) as n_bytes, cast((length(x) - length(coalesce(k, x))) // 2 as bigint) as n_removed,
-    cast((select count(*) from spans s where s.doc_id = h.doc_id) as bigint) as n_spans, sha256(unhex(coalesce(k, x))) as kept_sha256 from h left join kept using (doc_id)""",
+    cast((select count(*) from spans s where s.doc_id = h.doc_id) as bigint) as n_spans, sha256(unhex(coalesce(k, x))) as kept_sha256, c is not null as has_passage, cast(coalesce(c, 0) as bigint) as passage_words
+  from h left join kept using (doc_id) left join covered using (doc_id)""",
 }

@@ -354,10 +354,10 @@ def test_expansion_finds_all_repeats():
         assert [x.tolist() for x in repeated_starts(strings, length)] == [[i for i in range(len(s) - length + 1) if n[s[i : i + length]] > 1] for s in strings]
 
 
-@pytest.mark.parametrize("cap", [1000, 2])
-def test_remove_repeats(spark, cap):
+@pytest.mark.parametrize(("cap", "hot"), [(1000, 0.001), (2, 0.5)])
+def test_remove_repeats(spark, monkeypatch, cap, hot):
     length = 60
-    data = corpus() + [(700, "ab" * 400, *[None] * 7), (701, "é" * 100, *[None] * 7)]
+    data = corpus() + [(700, "ab" * 400, *[None] * 7), (701, "é" * 100, *[None] * 7), (702, "the " * 40, *[None] * 7), (703, "x" * 30 + " the" * 30, *[None] * 7)]
     texts = [(d[0], (d[1] or "").encode()) for d in data]
     n = Counter(t[i : i + length] for _, t in texts for i in range(len(t) - length + 1))
     want = []
@@ -368,11 +368,34 @@ def test_remove_repeats(spark, cap):
                 gone.update(range(s, s + length))
         kept = bytes(b for p, b in enumerate(t) if p not in gone)
         want.append((i, len(t), len(gone), sum(p - 1 not in gone for p in gone), hashlib.sha256(kept).hexdigest()))
-    out = repeats.remove_repeats(frame(spark, data).withColumnRenamed("n", "g"), length=length, anchor=16, cap=cap)
-    assert collected(out.drop("spans")) == sorted(want, key=repr)
+    monkeypatch.setattr(repeats, "HOT", hot)
+    out = repeats.remove_repeats(frame(spark, data).withColumnRenamed("n", "g"), length=length, anchor=16, cap=cap, passage=12)
+    assert collected(out.drop("spans", "has_passage", "passage_words")) == sorted(want, key=repr)
+    passages = defaultdict(set)
+    split = [t.split() for _, t in texts]
+    for (i, t), w in zip(texts, split, strict=True):
+        for s in range(len(w) - 11):
+            passages[tuple(w[s : s + 12])].add((i, t))
+    covered = [len({p for s in range(len(w) - 11) if len(passages[tuple(w[s : s + 12])]) > 1 for p in range(s, s + 12)}) for w in split]
+    assert sorted(((r.doc_id, r.n_bytes, r.has_passage, r.passage_words) for r in out.collect()), key=repr) == sorted(((i, len(t), c > 0, c) for (i, t), c in zip(texts, covered, strict=True)), key=repr)
     assert repeats.remove_repeats(frame(spark, []), length=length, anchor=16).count() == 0
 
 
+def test_words_of_a_text_in_parts(monkeypatch):
+    text = b"  " + words(3, 3000).encode() + b"\n" + b"y" * 5000 + b"\tz "
+    whole = repeats.word_hashes(text)
+    wide, runs = repeats.passage_windows(whole, 51), repeats.passage_anchors(whole)
+    assert len(whole) == 3002 and len(wide) == 2952 and sum(b - a + 1 for _, _, a, b in runs) == 2952
+    assert len(set(whole.tolist())) == len(set(text.split()))
+    monkeypatch.setattr(repeats, "_SEGMENT", 2000)
+    assert (repeats.word_hashes(text) == whole).all()
+    parts = repeats.word_hashes(text)
+    assert (repeats.passage_windows(parts, 51) == wide).all() and sum(b - a + 1 for _, _, a, b in repeats.passage_anchors(parts)) == 2952
+    assert len(repeats.word_hashes(b"")) == len(repeats.word_hashes(b" \n ")) == len(repeats.passage_windows(whole[:50])) == 0
+    monkeypatch.setattr(repeats, "_LONG_WORD", 100)
+    assert len(set(repeats.word_hashes(text).tolist())) == len(set(text.split()))
+
+
 def test_anchors_of_a_text_in_parts(monkeypatch):
     text = words(3, 3000).encode()
     whole = repeats.anchors(text, 100, 16)
