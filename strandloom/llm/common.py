@@ -133,3 +133,25 @@ def upper_bound(array: Column, n: int, below) -> Column:
         long_array(steps), F.lit(0).cast("bigint"),
         lambda at, s: F.when((at + s <= n) & below(F.get(array, (F.least(at + s, F.lit(max(n, 1))) - 1).cast("int"))), at + s).otherwise(at),
     )
+
+
+#: Keys over which the rows of a hot key are dealt.
+PARTS = 64
+
+
+def hot_keys(counts: DataFrame, keys: list[str], share: float, total: int | None = None) -> DataFrame:
+    """Of (keys, rows) those that hold more than this share of all rows, so at most 1 / share of them; no table of the driver grows."""
+    total = counts.agg(F.sum("rows")).first()[0] or 0 if total is None else total
+    found = counts.where(F.col("rows") > max(share * total, 1)).select(*keys, F.lit(True).alias("is_hot"))
+    return counts.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
+def dealt(rows: DataFrame, hot: DataFrame, keys: list[str], by: Column) -> DataFrame:
+    """With `part`, by which rows of hot keys are dealt over PARTS keys; that of all others is 0."""
+    return rows.join(F.broadcast(hot), keys, "left").withColumn("part", F.when(F.col("is_hot"), F.pmod(F.xxhash64(by), F.lit(PARTS))).otherwise(0).cast("int")).drop("is_hot")
+
+
+def for_all(rows: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """With `part`: the few rows of hot keys once for each."""
+    parts = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    return rows.join(F.broadcast(hot), keys, "left").withColumn("part", F.explode(parts)).drop("is_hot")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .bwt import repeated_starts
-from .common import discard, materialise
+from .common import dealt, discard, for_all, hot_keys, materialise
 
 LENGTH, ANCHOR = 400, 64
 #: Different contexts of an anchor that are searched in one run, and bytes gathered for a run.
@@ -37,8 +37,8 @@ WIDTHS = (32, 4, 1)
 PASSAGE, PASSAGE_ANCHOR = 51, 8
 #: Offset classes that are told apart before a search.
 CLASSES = 8
-#: An anchor or context with more than this share of all rows is hot; its rows are dealt over PARTS keys in joins.
-HOT, PARTS = 0.001, 64
+#: An anchor or context with more than this share of all rows is hot; its rows are dealt over several keys in joins.
+HOT = 0.001
 _SEGMENT, _LONG_WORD = 1 << 23, 1 << 16
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: list[np.ndarray] = []
@@ -346,23 +346,6 @@ def _counted(contexts: DataFrame) -> DataFrame:
     return contexts.join(contexts.groupBy("g").agg(F.count("*").alias("m")), "g")
 
 
-def _hot(counts: DataFrame, keys: list[str], total: int) -> DataFrame:
-    """Of (keys, rows) those that hold more than HOT of all rows, so at most 1 / HOT."""
-    found = counts.where(F.col("rows") > max(HOT * total, 1)).select(*keys, F.lit(True).alias("is_hot"))
-    return counts.sparkSession.createDataFrame(found.collect(), found.schema)
-
-
-def _dealt(rows: DataFrame, hot: DataFrame, keys: list[str], by: Column) -> DataFrame:
-    """With `part`, by which rows of hot keys are dealt over PARTS keys; that of all others is 0."""
-    return rows.join(F.broadcast(hot), keys, "left").withColumn("part", F.when(F.col("is_hot"), F.pmod(F.xxhash64(by), F.lit(PARTS))).otherwise(0).cast("int")).drop("is_hot")
-
-
-def _for_all(rows: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    """With `part`: the few rows of hot keys once for each."""
-    parts = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
-    return rows.join(F.broadcast(hot), keys, "left").withColumn("part", F.explode(parts)).drop("is_hot")
-
-
 def _merged(ranges) -> list[list[int]]:
     spans: list[list[int]] = []
     for lo, hi in sorted(ranges):
@@ -407,15 +390,15 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     rows = materialise(texts.select(F.coalesce("doc_id", F.lit(none)).alias("doc_id"), "h", "text").mapInArrow(_anchored(length, core, passage), "g bigint, c bigint, doc_id bigint, h bigint, at bigint, p0 bigint, p1 bigint"), "anchors")
     live = materialise(rows.groupBy("g").agg(F.count("*").alias("rows")).where("rows > 1"), "live")
     total = rows.count()
-    hot, place = _hot(live, ["g"], total), F.struct("doc_id", "p0")
-    rows, old = materialise(_dealt(rows, hot, ["g"], place).join(_for_all(live.select("g"), hot, ["g"]), ["g", "part"]).drop("part"), "live-anchors"), rows
+    hot, place = hot_keys(live, ["g"], HOT, total), F.struct("doc_id", "p0")
+    rows, old = materialise(dealt(rows, hot, ["g"], place).join(for_all(live.select("g"), hot, ["g"]), ["g", "part"]).drop("part"), "live-anchors"), rows
     discard(old, live)
     least = F.min(F.struct("doc_id", "h", "at", "p0", "p1"))
     who = F.struct("doc_id", "h")
     times = F.when(F.min("at") < 0, F.when(F.min(who) < F.max(who), 2).otherwise(1)).otherwise(F.count("*")).cast("bigint")
     each = materialise(rows.groupBy("g", "c").agg(times.alias("n"), F.count("*").alias("rows"), least.alias("x")).select("g", "c", "n", "rows", "x.*"), "contexts")
     several = each.groupBy("g").agg(F.count("*").alias("m")).where("m > 1")
-    mixed = _dealt(each, hot, ["g"], F.col("c")).join(_for_all(several, hot, ["g"]), ["g", "part"])
+    mixed = dealt(each, hot, ["g"], F.col("c")).join(for_all(several, hot, ["g"]), ["g", "part"])
     wanted = mixed.groupBy("doc_id", "h").agg(F.collect_list(F.struct("g", "c", "at", "p0", "p1", "n", "m")).alias("wanted"))
     # Rows that repeat id and text share a fetch: the contexts are distinct again after it.
     held = texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(none))).join(wanted, ["doc_id", "h"]).select("text", F.xxhash64("doc_id", "h").alias("doc"), "wanted")
@@ -423,8 +406,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     found = _settled(contexts, length, core, cap, WIDTHS)
     whole = each.where("n > 1").select("g", "c", F.lit(0).cast("bigint").alias("lo"), (F.col("p1") - F.col("p0")).alias("hi"))
     found = materialise(found.unionByName(whole).distinct(), "found")
-    hot = _hot(each, ["g", "c"], total)
-    ranges = _dealt(rows, hot, ["g", "c"], place).join(_for_all(found, hot, ["g", "c"]), ["g", "c", "part"]).select("doc_id", "h", (F.col("p0") + F.col("lo")).alias("lo"), (F.col("p0") + F.col("hi")).alias("hi"), (F.col("at") < 0).alias("words"))
+    hot = hot_keys(each, ["g", "c"], HOT, total)
+    ranges = dealt(rows, hot, ["g", "c"], place).join(for_all(found, hot, ["g", "c"]), ["g", "c", "part"]).select("doc_id", "h", (F.col("p0") + F.col("lo")).alias("lo"), (F.col("p0") + F.col("hi")).alias("hi"), (F.col("at") < 0).alias("words"))
     ranges = materialise(ranges.groupBy("doc_id", "h").agg(F.collect_set(F.struct("words", "lo", "hi")).alias("ranges")), "ranges")
     discard(rows, each, contexts, found)
     out = texts.withColumn("id", F.coalesce("doc_id", F.lit(none))).join(ranges.withColumnRenamed("doc_id", "id"), ["id", "h"], "left")
