@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .trees import Forest, forest
 
 #: Labelled findings to learn from at most, and the score that makes a secret.
@@ -34,7 +35,7 @@ PATH_FOR = ("env", "config", "settings", "secret", "credential", "deploy")
 WORDS = {"the", "and", "for", "with", "this", "that", "from", "have", "name", "user", "data", "file", "page", "http", "https", "www", "com", "org", "example", "test", "your", "here", "value", "change", "password", "secret", "token", "key", "long", "text", "word", "class", "function", "return", "index", "image", "content", "default", "config", "service", "server", "client", "request", "response", "string", "number", "version", "module", "package", "release", "update"}
 PAIRS = {"th", "he", "in", "er", "an", "re", "on", "at", "en", "nd", "ti", "es", "or", "te", "of", "ed", "is", "it", "al", "ar", "st", "to", "nt", "ng", "se", "ha", "as", "ou", "io", "le", "ve", "co", "me", "de", "hi", "ri", "ro", "ic", "ne", "ea", "ra", "ce", "li", "ch", "ll", "be", "ma", "si", "om", "ur"}
 
-_CANDIDATE = re.compile("|".join(f"(?P<{k}>{v})" for k, v in PREFIXES.items()) + r"|(?P<quoted>(?<=[\"'`])[0-9A-Za-z_\-+/=.!@#$%^&*]{12,256}(?=[\"'`]))|(?P<run>(?<![0-9A-Za-z_\-+/=.@])(?=[A-Za-z_\-+/=]{0,64}[0-9])[0-9A-Za-z_\-+/=]{20,256}(?![0-9A-Za-z_@]))")
+_CANDIDATE = re.compile("|".join(f"(?P<{k}>{v})" for k, v in PREFIXES.items()) + r"|(?P<quoted>(?<=[\"'`])[0-9A-Za-z_\-+/=.!@#$%^&*]{12,}(?=[\"'`]))|(?P<run>(?<![0-9A-Za-z_\-+/=.@])(?=[A-Za-z_\-+/=]*[0-9])[0-9A-Za-z_\-+/=]{20,}(?![0-9A-Za-z_@]))")
 _NEAR = re.compile(r"[A-Za-z_][A-Za-z_0-9]*")
 KINDS = [*PREFIXES, "quoted", "run"]
 NAMES = [
@@ -44,7 +45,7 @@ _UUID = re.compile(r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
 
 
 def coverage(s: str) -> float:
-    """Share of letters that frequent words of four letters or more cover, longest first from the left."""
+    """Share of letters that frequent words of three letters or more cover, longest first from the left."""
     low, i, hit = s.lower(), 0, 0
     while i < len(low):
         n = next((n for n in (8, 7, 6, 5, 4, 3) if low[i : i + n] in WORDS and len(low[i : i + n]) == n), 0)
@@ -129,7 +130,9 @@ def scan(docs: DataFrame, model: Forest, key: str = "doc_id", text: str = "text"
     """One row for each candidate of each whole text: doc_id, path, start and end (characters), kind, string, score, secret.
 
     secret is 1 where the forest keeps the finding and 0 where it takes it for a false positive. Null and empty texts
-    have none; null ids and paths are passed on; repeated rows are scanned each. Other columns are not read.
+    have none; null ids and paths are passed on; repeated rows are scanned each. A candidate may be as long as its text.
+    Other columns, whatever their names, are not read.
     """
+    ship(docs.sparkSession)
     read = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(path).cast("string").alias("path"), F.col(text).cast("string").alias("text"))
     return read.mapInArrow(_scanned(docs.sparkSession.sparkContext.broadcast(model), threshold), "doc_id bigint, path string, start bigint, end bigint, kind string, string string, score double, secret int")

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from .common import long_array, materialise, upper_bound, json_literal
 
-#: Rows that one window task may hold; the number of ranges grows with the table.
+#: Rows of a range in a table of up to MAX_RANGES of them; in larger ones ranges grow, and their windows sort with spilling.
 ROWS_PER_RANGE = 100_000
-#: Sampled keys for each range; with it the sample on the driver is at most this many (k, h) pairs a range.
-OVERSAMPLE = 16
+#: Sampled keys for each range, and the most ranges: what the driver and the plan hold does not grow with the table beyond.
+OVERSAMPLE, MAX_RANGES = 16, 8192
 _PRIVATE = ("__k", "__h", "__size", "__salt", "__range", "__before", "__n", "__shard", "__slot")
 
 
@@ -58,14 +58,14 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, key: str | Column = "do
     if not n:
         return base.drop(*_PRIVATE).withColumns({shard: F.lit(0).cast("int"), slot: F.lit(0).cast("bigint")})
     weight = F.col("__size") + F.lit(total / n)  # bounds both bytes and rows of a range
-    ranges = max(64 * n_shards, -(-2 * n // rows_per_range))
+    ranges = min(max(64 * n_shards, -(-2 * n // rows_per_range)), max(MAX_RANGES, 64 * n_shards))
     splitters = _quantiles(_drawn(digest, weight, 2 * total, OVERSAMPLE * ranges), ranges)
 
     def totals(df: DataFrame) -> dict[int, tuple[int, int]]:
         return {r[0]: (r[1], r[2]) for r in df.groupBy("__range").agg(F.count("*"), F.sum("__size")).collect()}
 
     hot: list[tuple[int, int]] = []
-    for _ in range(4):  # each turn splits the overfull ranges by a sample of their own
+    while True:  # each turn splits the overfull ranges by a sample of their own, until none is or none can be split
         held = totals(_ranged(digest, splitters))
         most = max(4 * (n // ranges + 1), 64)
         over = {r: c for r, (c, b) in held.items() if c + b * n // total > 2 * most}
@@ -83,7 +83,10 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, key: str | Column = "do
                 inside = _ranged(digest, splitters).where(F.col("__range").isin(list(over)))
         w = sum(c + held[r][1] * n / total for r, c in over.items()) * total / n
         pieces = max(2, int(2 * sum(over.values()) // (n // ranges + 1)) + 1)
-        splitters = sorted({*splitters, *_quantiles(_drawn(inside, weight, w, OVERSAMPLE * pieces), pieces)})
+        more = sorted({*splitters, *_quantiles(_drawn(inside, weight, w, OVERSAMPLE * pieces), pieces)})
+        if more == splitters:
+            break
+        splitters = more
 
     held = totals(_ranged(digest, splitters))
     rows_before, bytes_before, crossing, r0, b0 = [], [], set(), 0, 0

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .trees import Boosted, Isotonic, boost, isotonic
 
 #: Labelled rows to learn from: those with the smallest hashes, this many at most.
@@ -64,10 +65,14 @@ def terms_of(text: str) -> set[str]:
 
 
 class _Codes(dict):
-    """For a raw word: learned weight (8 bits), then fixed, second person, capital, capitals, decorated, inner marks, digit, '!' (1 each), punctuation (4), letters (6)."""
+    """For a raw word: learned weight (16 bits), then fixed, second person, capital, capitals, decorated, inner marks, digit, '!', long (1 each), punctuation (18), letters (18).
+
+    The counts of a long word stand in `long` until its text is done, at the place that its code names.
+    """
 
     def __init__(self, terms: dict[str, float]):
         self.terms = terms
+        self.long: list[tuple[int, int]] = []
 
     def __missing__(self, word: str) -> int:
         if len(self) > 400_000:
@@ -75,11 +80,14 @@ class _Codes(dict):
         c = core(word)
         weight = max([self.terms.get(c + "$", 0.0), *(self.terms.get(c[:n], 0.0) for n in _PREFIXES if len(c) >= n)]) if len(c) > 2 else 0.0
         marks = sum(not x.isalnum() for x in word)
-        x = min(255, int(weight * 32))
-        flags = (c in INSULTS, c in SECOND_PERSON, word[:1].isupper(), len(c) > 1 and word.isupper(), marks > 1 and not word[-1:].isalnum(), bool(_INNER.search(word)), any(map(str.isdigit, word)), "!" in word)
+        x = min(0xFFFF, int(weight * 1024))  # log odds of counts stay far below 64
+        flags = (c in INSULTS, c in SECOND_PERSON, word[:1].isupper(), len(c) > 1 and word.isupper(), marks > 1 and not word[-1:].isalnum(), bool(_INNER.search(word)), any(map(str.isdigit, word)), "!" in word, len(word) > 0x3FFFF)
         for i, f in enumerate(flags):
-            x |= f << (8 + i)
-        self[word] = x = x | min(marks, 15) << 16 | min(len(c), 63) << 20
+            x |= f << (16 + i)
+        if flags[-1]:  # rare, so not remembered
+            self.long.append((marks, len(c)))
+            return x | (len(self.long) - 1) << 25
+        self[word] = x = x | marks << 25 | len(c) << 43
         return x
 
 
@@ -89,7 +97,12 @@ def features(text: str | None, codes: dict[str, int]) -> np.ndarray:
     if not n:
         return np.zeros(len(NAMES))
     x = np.fromiter(map(codes.__getitem__, words), np.int64, n)
-    weight, bit = (x & 255) / 32, lambda i: (x >> (8 + i)) & 1
+    weight, bit = (x & 0xFFFF) / 1024, lambda i: (x >> (16 + i)) & 1
+    marks, letters = (x >> 25) & 0x3FFFF, x >> 43
+    if bit(8).any():
+        at = np.flatnonzero(bit(8))
+        marks[at], letters[at] = np.array([codes.long[i] for i in (x[at] >> 25).tolist()]).T
+        codes.long.clear()
     fixed, you, hit = bit(0), bit(1), weight > 0
     any_ = np.flatnonzero(hit | (fixed > 0))
     you_at = np.flatnonzero(you)
@@ -98,10 +111,10 @@ def features(text: str | None, codes: dict[str, int]) -> np.ndarray:
         k = np.searchsorted(you_at, any_)
         gap = np.minimum(np.abs(any_ - you_at[np.minimum(k, len(you_at) - 1)]), np.abs(any_ - you_at[np.maximum(k - 1, 0)]))
         near = float((gap <= 5).sum()) / n
-    kinds = len({words[i] for i in any_[:2000].tolist()})
+    kinds = len({words[i] for i in any_.tolist()})
     return np.array([
-        np.log1p(n), ((x >> 20) & 63).sum() / n, fixed.sum() / n, np.log1p(fixed.sum()), hit.sum() / n, np.log1p(hit.sum()), weight.max(), np.log1p(weight.sum()), np.log1p(kinds), near, you.sum() / n,
-        bit(2).sum() / n, bit(3).sum() / n, ((x >> 16) & 15).sum() / n, bit(7).sum() / n, bit(4).sum() / n, bit(5).sum() / n, bit(6).sum() / n, 1 - len(set(words)) / n, len(any_) and np.ptp(any_) / n,
+        np.log1p(n), letters.sum() / n, fixed.sum() / n, np.log1p(fixed.sum()), hit.sum() / n, np.log1p(hit.sum()), weight.max(), np.log1p(weight.sum()), np.log1p(kinds), near, you.sum() / n,
+        bit(2).sum() / n, bit(3).sum() / n, marks.sum() / n, bit(7).sum() / n, bit(4).sum() / n, bit(5).sum() / n, bit(6).sum() / n, 1 - len(set(words)) / n, len(any_) and np.ptp(any_) / n,
     ])
 
 
@@ -153,12 +166,17 @@ def _lexicon(rows: list, folds: tuple[int, ...], totals: dict[int, int]) -> dict
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN) -> Model:
-    """Learn from the labelled rows outside the held-out quarter, max_train of them at most (those of smallest hash)."""
+    """Learn from the labelled rows outside the held-out quarter, max_train of them at most (those of smallest hash).
+
+    Null ids and labels teach nothing; a label that is given twice is toxic if one is; of texts that share an id the
+    smallest is learned from. Without labels, or with one kind, scores are one constant. Other columns are not read.
+    """
+    ship(docs.sparkSession)
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(key)).groupBy(F.col(key).cast("bigint").alias("id")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(max_train).withColumn("fold", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(2)).cast("int"))
     known = docs.sparkSession.createDataFrame(known.collect(), known.schema)  # at most max_train small rows
-    rows = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(known), "id").select("id", "text", "toxic", "fold")
-    # A repeated id gives a row for each of its texts; their number stays near max_train in a table of documents.
+    rows = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(known), "id")
+    rows = rows.groupBy("id", "toxic", "fold").agg(F.min("text").alias("text")).select("id", "text", "toxic", "fold")  # a repeated id gives one row
     counts = rows.select("text", "toxic", "fold").mapInArrow(_term_counts, "term string, at int, n bigint")
     sums = counts.groupBy("term").agg(*(F.sum(F.when(F.col("at") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(4)))
     totals = {2 * r["fold"] + r["toxic"]: r["n"] for r in known.groupBy("fold", "toxic").agg(F.count("*").alias("n")).collect()}
@@ -200,12 +218,17 @@ def _scored(model, text_at: int, keep_below: float | None):
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row. A null or empty text is scored as a text without words."""
+    """doc_id, held_out, score, predicted for every row, those that repeat an id too, each by its own text.
+
+    A null or empty text is scored as a text without words. Other columns, whatever their names, are not read.
+    """
+    ship(docs.sparkSession)
     read = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     out = read.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(model), 1, None), "id bigint, score double")
     return out.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, with all their columns, that score below the threshold."""
+    """The rows of docs, with all their columns, that score below the threshold; null and empty texts as score() says."""
+    ship(docs.sparkSession)
     return docs.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text), threshold), docs.schema)

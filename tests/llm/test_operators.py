@@ -194,6 +194,8 @@ def test_toxicity(spark):
     assert sum(p == y for p, y in held) / len(held) > 0.95
     left = toxicity.drop_toxic(docs, model)
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {i for i, r in got.items() if r.score < 0.3}
+    once = toxicity.train(docs.unionByName(docs), labels)
+    assert once.terms == model.terms and (once.trees.raw(np.zeros((1, len(toxicity.NAMES)))) == model.trees.raw(np.zeros((1, len(toxicity.NAMES))))).all()
     # Labels of held-out rows change nothing.
     swapped = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     again = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.train(docs, swapped)).collect()}
@@ -201,6 +203,37 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), toxicity.train(docs.limit(0), labels.limit(0))).count() == 0
 
 
+def test_features_of_whole_texts():
+    codes = toxicity._Codes({"bad$": 2.5, "worse$": 9.25})
+    at = dict(zip(toxicity.NAMES, toxicity.features(" ".join(f"bad{'!' * i}" for i in range(3000)), codes), strict=True))
+    assert math.isclose(at["learned_kinds"], math.log1p(3000)) and math.isclose(at["punctuation"], 2999 / 2) and at["learned_top"] == 2.5
+    long = "x" * 300_000 + "!" * 20
+    at = dict(zip(toxicity.NAMES, toxicity.features(f"{long} worse {long}y", codes), strict=True))
+    assert math.isclose(at["letters_a_word"], 600_026 / 3) and math.isclose(at["punctuation"], 40 / 3) and at["learned_top"] == 9.25
+    assert not codes.long and not toxicity.features(None, codes).any()
+
+
+def test_trees_against_brute_force():
+    """One tree of one split has the least squared error of all splits; the isotonic fit that of all monotone ones."""
+    r = np.random.default_rng(3)
+    x, y = r.integers(0, 20, (300, 3)).astype(float), r.integers(0, 2, 300).astype(float)
+    tree = trees.boost(x, y, trees=1, depth=1, rate=1.0, ridge=1e-9, least=1e-6).trees[0]
+    p = (y.sum() + 0.5) / 301
+    gains = {}
+    for j in range(3):
+        for c in range(19):
+            left = x[:, j] <= c
+            if left.any() and not left.all():
+                gains[j, c] = sum((y[s] - p).sum() ** 2 / (p * (1 - p) * s.sum()) for s in (left, ~left))
+    best = max(gains, key=gains.get)
+    assert tree.feature[0] == best[0] and ((x[:, best[0]] <= tree.threshold[0]) == (x[:, best[0]] <= best[1])).all()
+    x = np.arange(9.0)
+    y = r.integers(0, 2, 9).astype(float)
+    fit = trees.isotonic(x, y)
+    level = np.array([max(min(y[a : b + 1].mean() for b in range(i, 9)) for a in range(i + 1)) for i in range(9)])  # the max-min formula
+    assert sorted(set(np.round(fit.value, 12).tolist())) == sorted(set(np.round(level, 12).tolist()))
+
+
 def test_trees():
     r = np.random.default_rng(0)
     x = r.normal(size=(800, 5))
@@ -247,6 +280,30 @@ def test_secrets(spark):
     findings = spark.createDataFrame([f[:6] for f in secrets.made_findings(400)], "string string, kind string, before string, after string, path string, label int")
     assert ((secrets.train(findings).predict(x) >= 0.5) == y).mean() > 0.9
     assert secrets.scan(docs.limit(0), model).count() == 0
+    run = "abcXYZ" * 40 + "1" + "deFG" * 2000
+    odd = spark.createDataFrame([(0, f"key = '{'q9' * 400}' x", "p"), (1, f"see {run} end", "p"), (2, f"mail {'a1' * 20}@example.org", "p")], "doc_id bigint, text string, source string")
+    assert {(r.doc_id, r.start, r.end) for r in secrets.scan(odd, model).collect()} == {(0, 7, 807), (1, 4, 4 + len(run))}
+
+
+def test_secret_candidates_against_brute_force():
+    """Runs of 20 token characters or more with a digit, bounded on both sides: found by looking at each character."""
+    r = random.Random(8)
+    for _ in range(300):
+        text = "".join(r.choice(["a", "Z", "7", "-", "/", " ", ".", "@", "(", "b" * 15, "c9" * 9]) for _ in range(r.randint(0, 60)))
+        runs, at = [], 0
+        while at < len(text):
+            end = at
+            while end < len(text) and text[end] in "aZ7-/bc9":
+                end += 1
+            stop = end
+            if end < len(text) and text[end] == "@":  # a run gives back what touches an address
+                while stop > at and (text[stop : stop + 1] or " ") in "aZ7bc9@":
+                    stop -= 1
+            part = text[at:stop]
+            if len(part) >= 20 and any(c.isdigit() for c in text[at:end]) and not (at and text[at - 1] in ".@"):
+                runs.append((at, stop))
+            at = max(end, at) + 1
+        assert [(a, b) for a, b, kind, _ in secrets.candidates(text, None) if kind == "run"] == runs
 
 
 # ---- 7 -----------------------------------------------------------------------------------------------------------
@@ -267,6 +324,10 @@ def test_urls(spark):
     learnt = {r.page_id: r.verdict for r in urls.judge(pages, rules=[], label=F.when(F.col("page_id") < 30, (F.col("page_id") % 2).cast("int"))).collect()}
     assert all(learnt[i] == ("block" if i % 2 else "allow") for i in range(40))
     assert urls.judge(pages.limit(0)).count() == 0
+    deep = [(i, f"http://d.com/{'/'.join(f'p{j}x' for j in range(30))}/{'bad' if i % 2 else 'ok'}/z{i}/y") for i in range(60)] + [(100, "http://e.com/" + "s/" * 5000), (101, "http://f.com/*/+/{n}/a"), (102, "http://f.com/7/b")]
+    judged = {r.page_id: r for r in urls.judge(spark.createDataFrame(deep, "page_id bigint, url string"), rules=[], label=F.when(F.col("page_id") < 40, (F.col("page_id") % 2).cast("int"))).collect()}
+    assert len(judged) == 63 and all(judged[i].verdict == ("block" if i % 2 else "allow") for i in range(60))
+    assert judged[100].template == "/s" * 5000 and judged[101].template == r"/\*/\+/\{n\}/a" and judged[102].template == "/{n}/b"
 
 
 # ---- 8 -----------------------------------------------------------------------------------------------------------
