@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,3 +64,21 @@ def is_sorted(df: DataFrame, by: list[str], order_by: list[str]) -> bool:
     inside = part.withColumn("bad", F.coalesce(F.lag("k").over(w) > F.col("k"), F.lit(False)))
     edges = inside.groupBy("p").agg(F.max("bad").alias("bad"), F.min_by("k", "o").alias("a"), F.max_by("k", "o").alias("b")).orderBy("p").collect()
     return not any(e["bad"] for e in edges) and all(tuple(x["b"]) <= tuple(y["a"]) for x, y in zip(edges, edges[1:], strict=False))
+
+
+def numbered(df: DataFrame, keys: list[str], place: str = "place", ranges: int = 512) -> DataFrame:
+    """df with each row's place (from 1) in the order of the keys, of which the first is a number.
+
+    Ranges of the first key are numbered apart and start after the rows of those before, so no task sorts all rows; a
+    value that many rows share is one range. Nulls come first.
+    """
+    first = F.col(keys[0]).cast("double")
+    cuts = sorted(set(df.agg(F.percentile_approx(first, [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0] or []))
+    edges = sorted({x for c in cuts for x in (c, math.nextafter(c, math.inf))})  # a common value gets a range of its own
+    cut = F.split(F.lit(",".join(map(repr, edges))), ",").cast("array<double>") if edges else F.array().cast("array<double>")
+    df = df.withColumn("__range", F.when(first.isNull(), -1).otherwise(F.size(F.filter(cut, lambda c: c <= first))))
+    sizes = df.groupBy("__range").agg(F.count("*").alias("__rows"))  # at most 2 * ranges rows
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
+    own = F.row_number().over(Window.partitionBy("__range").orderBy(*keys))
+    return df.withColumn("__own", own).join(F.broadcast(starts), "__range").withColumn(place, F.col("__before") + F.col("__own")).drop("__range", "__own", "__before")

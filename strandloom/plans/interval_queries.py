@@ -142,10 +142,10 @@ def seglen(spark, d):
     return Tables(spark, d).site.select("sid", seg_length("start", "end").alias("len"))
 
 
-@query("q_segcloest", f"""with {SITE}, {TAG} select sid, chr, s as "start", e as "end", cast((select max(t.e) from tag t where t.chr = x.chr and t.e < x.s) as bigint) as previous, cast((select min(t.s) from tag t where t.chr = x.chr and t.s > x.e) as bigint) as "next" from site x where sid % 50 = 0""")
+@query("q_segcloest", f"""with {SITE}, {TAG} select x.sid, x.chr, x.s as "start", x.e as "end", cast(before.e as bigint) as previous, cast(after.s as bigint) as "next" from site x asof left join (select chr, e from tag) before on before.chr = x.chr and before.e < x.s asof left join (select chr, s from tag) after on after.chr = x.chr and after.s > x.e""")
 def segcloest(spark, d):
     t = Tables(spark, d)
-    return I.nearest_segments(t.site.where("sid % 50 = 0"), t.tag, ["chr"], "sid").select("sid", "chr", "start", "end", "previous", "next")
+    return I.nearest_segments(t.site, t.tag, ["chr"], "sid").select("sid", "chr", "start", "end", "previous", "next")
 
 
 @query("q_liftover", f"""with {SITE}, blocks as (select chr, range * 1000 as bs, range * 1000 + 899 as be, chr + 10 as to_key, range * 500 + 7 as ts from (select distinct chr from site), range(0, 300))
@@ -158,10 +158,10 @@ def liftover(spark, d):
     return I.lift(t.site, blocks, ["chr"], "sid").select("sid", "to_key", "lifted_start", "lifted_end")
 
 
-@query("q_region_semijoin", f"with {SITE}, {TAG} select distinct tid, ln, chr, s as \"start\", e as \"end\" from tag where tid in (select t.tid from tag t join site s on s.chr = t.chr and t.s <= s.e and t.e >= s.s where s.sid % 100 = 0)")
+@query("q_region_semijoin", f"with {SITE}, {TAG} select distinct tid, ln, chr, s as \"start\", e as \"end\" from tag where tid in (select t.tid from tag t join site s on s.chr = t.chr and t.s <= s.e and t.e >= s.s)")
 def region_semijoin(spark, d):
     t = Tables(spark, d)
-    reads = I.interval_join(t.site.where("sid % 100 = 0"), t.tag, ["chr"]).select("tid").distinct()
+    reads = I.interval_join(t.site, t.tag, ["chr"]).select("tid").distinct()
     return t.tag.join(reads, "tid", "left_semi").distinct()
 
 

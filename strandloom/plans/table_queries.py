@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import groups as G
 from ..operators import joins as J
+from ..operators import rows as R
 from ..operators import tables as T
 from ..operators import windows as W
 from .catalogue import Tables, query
@@ -113,10 +114,10 @@ def memberr(spark, d):
     return J.member_index(t.customer.select("c_custkey"), t.orders, [("c_custkey", "o_custkey")], "o_orderkey")
 
 
-@query("q_setxri", "select c_nationkey, c_custkey as a_row, s_suppkey as b_row from customer join supplier on s_nationkey = c_nationkey where c_custkey % 10 = 0")
+@query("q_setxri", "select c_nationkey, c_custkey as a_row, s_suppkey as b_row from customer join supplier on s_nationkey = c_nationkey")
 def setxri(spark, d):
     t = Tables(spark, d)
-    return J.index_pairs(t.customer.where("c_custkey % 10 = 0"), t.supplier, [("c_nationkey", "s_nationkey")], "c_custkey", "s_suppkey")
+    return J.index_pairs(t.customer, t.supplier, [("c_nationkey", "s_nationkey")], "c_custkey", "s_suppkey")
 
 
 @query("q_intersectri", "select c_nationkey, a_row, b_row from (select c_nationkey, min(c_custkey) as a_row from customer group by 1) join (select s_nationkey, min(s_suppkey) as b_row from supplier group by 1) on s_nationkey = c_nationkey")
@@ -392,12 +393,9 @@ def rowreduce(spark, d):
 # ---- order and windows -------------------------------------------------------------------------------------------
 
 
-@query("q_sortri", "select o_orderkey, cast(row_number() over (order by o_custkey, o_totalprice, o_orderkey) as bigint) as place from orders where o_custkey < 50")
+@query("q_sortri", "select o_orderkey, cast(row_number() over (order by o_custkey, o_totalprice, o_orderkey) as bigint) as place from orders")
 def sortri(spark, d):
-    from pyspark.sql import Window
-
-    o = Tables(spark, d).orders.where("o_custkey < 50")
-    return o.select("o_orderkey", F.row_number().over(Window.orderBy("o_custkey", "o_totalprice", "o_orderkey")).cast("bigint").alias("place"))
+    return R.numbered(Tables(spark, d).orders.select("o_custkey", "o_totalprice", "o_orderkey"), ["o_custkey", "o_totalprice", "o_orderkey"]).select("o_orderkey", "place")
 
 
 @query("q_topk", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 10")
@@ -514,9 +512,9 @@ def num2str(spark, d):
     return Tables(spark, d).part.select("p_partkey", C.number_text("p_size", min_digits=4).alias("size"))
 
 
-@query("q_saynum", "select p_partkey, case when p_partkey = 0 then '0' else cast(p_partkey as varchar) || 'k' end as said from part where p_partkey < 1000")
+@query("q_saynum", "select p_partkey, case when p_partkey = 0 then '0' when p_partkey < 1000 then cast(p_partkey as varchar) || 'k' else cast((p_partkey + 50) // 1000 as varchar) || case when (p_partkey + 50) // 100 % 10 > 0 then '.' || cast((p_partkey + 50) // 100 % 10 as varchar) else '' end || 'M' end as said from part")
 def saynum(spark, d):
-    return Tables(spark, d).part.where("p_partkey < 1000").select("p_partkey", C.si_number(F.col("p_partkey") * 1000).alias("said"))
+    return Tables(spark, d).part.select("p_partkey", C.si_number(F.col("p_partkey") * 1000).alias("said"))
 
 
 @query("q_chr2no", "select n_nationkey, cast(case n_nationkey when 23 then 31 when 24 then 32 when 22 then 41 else n_nationkey end as bigint) as code, case n_nationkey when 23 then 'chrX' when 24 then 'chrY' when 22 then 'chrM' else 'chr' || n_nationkey end as name from nation")
@@ -530,8 +528,7 @@ def parsestr_html(spark, d):
     return Tables(spark, d).pages.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.size(F.regexp_extract_all("html", F.lit("<p>"), F.lit(0))).cast("bigint").alias("paragraphs"))
 
 
-_DNA = "translate(substr(lower(text), 1, 400), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')"
-_WHOLE_DNA = "translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')"
+_DNA = "translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')"
 
 
 @query("q_revcomp", f"select doc_id, reverse(translate(regexp_replace({_DNA}, '[^ACGT]', '', 'g'), 'ACGT', 'TGCA')) as seq from documents where text is not null")
@@ -542,7 +539,7 @@ def revcomp(spark, d):
 
 @query("q_findorf")
 def findorf(spark, d):
-    seq = F.regexp_replace(F.expr(_WHOLE_DNA), "[^ACGT]", "")
+    seq = F.regexp_replace(F.expr(_DNA), "[^ACGT]", "")
     return Tables(spark, d).documents.where("text is not null").select("doc_id", F.explode(C.orfs(seq)).alias("x")).select("doc_id", "x.start", "x.end")
 
 

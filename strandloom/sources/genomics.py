@@ -46,7 +46,7 @@ def read_sam(spark: SparkSession, path: str, paired: bool = False, tags: dict[st
     raw = spark.read.text(path).where(~F.col("value").startswith("@")).withColumn("record_no", F.monotonically_increasing_id())
     p = F.split("value", "\t")
     kinds = {"i": "bigint", "f": "double", "Z": "string", "A": "string"}
-    field = lambda t: F.get(F.transform(F.filter(p, lambda x: x.startswith(t + ":")), lambda x: F.substring(x, 6, 1_000_000)), F.lit(0))
+    field = lambda t: F.get(F.transform(F.filter(p, lambda x: x.startswith(t + ":")), lambda x: x.substr(F.lit(6), F.length(x))), F.lit(0))
     rows = raw.select("record_no", F.get(p, F.lit(0)).alias("readid"), F.get(p, F.lit(1)).cast("int").alias("flag"), chr_code(F.get(p, F.lit(2))).alias("chrno"), F.get(p, F.lit(3)).cast("bigint").alias("pos"), F.get(p, F.lit(5)).alias("cigar"), F.length(F.get(p, F.lit(9))).alias("read_len"), *(field(t).cast(kinds[k]).alias(t) for t, k in (tags or {}).items()))
     rows = rows.where((F.col("flag").bitwiseAND(4) == 0) & (F.col("chrno") > 0) & (F.col("cigar") != "*"))
     rows = rows.withColumn("strand", sam_strand("flag", paired)).select("*", F.posexplode(cigar_segments("cigar", "pos")).alias("i", "s"))

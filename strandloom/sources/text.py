@@ -46,10 +46,9 @@ def read_table(spark: SparkSession, path: str, sep: str = "\t", header: str | No
     lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("_rid"))
     head_line = None
     if header is None:
-        for r in lines.orderBy("_rid").limit(1000 + skip).collect()[skip:]:
-            if r["value"].startswith("#:: ") or (r["value"] and not r["value"].startswith("#")):
-                head_line = r
-                break
+        start = max((r["_rid"] for r in lines.orderBy("_rid").limit(skip).collect()), default=-1) if skip else -1
+        head = F.col("value").startswith("#:: ") | ((F.col("value") != "") & ~F.col("value").startswith("#"))
+        head_line = next(iter(lines.where((F.col("_rid") > start) & head).orderBy("_rid").limit(1).collect()), None)
         if head_line is None:
             raise ValueError("no header")
         header = head_line["value"]

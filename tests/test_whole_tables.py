@@ -86,3 +86,31 @@ def test_findorf_reads_whole_texts(spark):
     got = [tuple(r) for r in catalogue.QUERIES["q_findorf"](spark, DIR).collect()]
     assert sorted(x for x in got if x[0] in short) == sorted(want)
     assert max(x[2] for x in got) > 6000
+
+
+def test_numbered_is_the_place_in_the_whole_order(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from strandloom.operators.rows import numbered
+
+    df = spark.range(3000).select((F.pmod(F.xxhash64("id"), F.lit(40)) * F.when(F.col("id") % 3 == 0, 0).otherwise(1)).alias("a"), F.when(F.col("id") % 7 > 0, F.xxhash64("id", F.lit(1))).alias("b"), "id")
+    df = df.unionByName(spark.createDataFrame([(None, 1, 9001), (None, None, 9002)], df.schema))
+    want = df.withColumn("place", F.row_number().over(Window.orderBy("a", "b", "id")).cast("bigint")).select("id", "place").collect()
+    assert sorted(numbered(df, ["a", "b", "id"], ranges=16).select("id", "place").collect()) == sorted(want)
+    assert numbered(df.limit(0), ["a", "b", "id"]).count() == 0
+
+
+def test_a_header_after_many_comments(spark, tmp_path):
+    from strandloom.sources.text import read_table
+
+    (tmp_path / "t.tsv").write_text("skipped\n" + "# c\n" * 2500 + "a\tb\n1\t2\n")
+    assert [(r.a, r.b) for r in read_table(spark, str(tmp_path / "t.tsv"), skip=1).select("a", "b").collect()] == [("1", "2")]
+
+
+def test_a_very_long_alignment_tag(spark, tmp_path):
+    from strandloom.sources.genomics import read_sam
+
+    tag = "x" * 1_200_000
+    (tmp_path / "t.sam").write_text(f"r1\t0\tchr1\t100\t9\t10M\t*\t0\t0\tACGTACGTAC\t*\tZZ:Z:{tag}\n")
+    assert read_sam(spark, str(tmp_path / "t.sam"), tags={"ZZ": "Z"}).first()["ZZ"] == tag
