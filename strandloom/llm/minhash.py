@@ -188,9 +188,10 @@ def _links(nodes: DataFrame, texts: DataFrame, rows: DataFrame, width: int, perc
     that are apart after that."""
     t = least_overlap(k, percent / 100)
     lists = _index(nodes, percent, k, WHOLE, MISS)
-    high = F.transform("sketch", lambda x: F.shiftrightunsigned(x, 33).cast("int"))
-    twice = F.size("sketch") - F.size(F.array_distinct(high))  # values that fall together there, by which a count may be short
-    sketches = materialise(nodes.join(lists.select("nid").distinct(), "nid", "left_semi").select("nid", "n", twice.alias("twice"), high.alias("sketch")), "short")
+    tiny = F.when(F.col("n") <= WHOLE, F.transform("sketch", lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - 0x8000).cast("smallint")))
+    high = F.when(F.col("n") * 100 > WHOLE * percent, F.transform(F.slice("sketch", 1, k), lambda x: F.shiftrightunsigned(x, 33).cast("int")))
+    twice = sum(F.coalesce(F.size(x) - F.size(F.array_distinct(x)), F.lit(0)) for x in (tiny, high))  # values that fall together there
+    sketches = materialise(nodes.join(lists.select("nid").distinct(), "nid", "left_semi").select("nid", "n", twice.alias("twice"), tiny.alias("tiny"), high.alias("sketch")), "short")
     sets: list[DataFrame] = []
     found: list[DataFrame] = []
 
@@ -289,17 +290,15 @@ def _set_table(texts: DataFrame, rows: DataFrame, wanted: DataFrame, n: int, wid
 def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int, k: int, t: int) -> DataFrame:
     """The pairs (a, b) that the estimate on the sketch of the union lets pass.
 
-    Sketches hold the high 31 bits of values. Common values that fall together there count once in an intersection of
-    the sketches, but no more of them than fall together in either sketch; so the count plus that never falls short.
+    Whole sets hold 16 bits of their values, sketches of the smallest the high 31. Common values that fall together there
+    count once in an intersection, but no more of them than fall together in either; so the count plus that never falls short.
     """
     for side in "ab":
-        pairs = pairs.join(sketches.toDF(side, f"n_{side}", f"twice_{side}", f"sketch_{side}"), side)
+        pairs = pairs.join(sketches.toDF(side, f"n_{side}", f"twice_{side}", f"tiny_{side}", f"sketch_{side}"), side)
     whole = f"greatest(n_a, n_b) <= {WHOLE}"  # then the sketches are the sets
-    a, b = (F.when(F.expr(whole), F.col(f"sketch_{side}")).otherwise(F.slice(f"sketch_{side}", 1, k)) for side in "ab")
-    pairs = pairs.withColumns({"sketch_a": a, "sketch_b": b})
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, k)
-    common = F.array_intersect("sketch_a", "sketch_b")
-    shared = F.size(F.when(F.expr(whole), common).otherwise(F.array_intersect(common, union))) + F.least("twice_a", "twice_b")
+    smallest = F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), union)
+    shared = F.when(F.expr(whole), F.size(F.array_intersect("tiny_a", "tiny_b"))).otherwise(F.size(smallest)) + F.least("twice_a", "twice_b")
     pairs = pairs.withColumn("shared", shared)
     return materialise(pairs.where(f"if({whole}, shared * 100 >= {percent} * (n_a + n_b - shared), shared >= {t})").select("a", "b"), "looked")
 
