@@ -321,31 +321,30 @@ def _times(doc: str) -> Column:
     return F.when(F.min("off") < 0, F.when((F.min(doc) != F.max(doc)) | (F.max("n") > 1), 2).otherwise(1)).otherwise(F.sum("n")).cast("bigint").alias("n")
 
 
-def _settled(contexts: DataFrame, length: int, core: int, cap: int, widths: tuple[int, ...]) -> DataFrame:
-    """contexts: one row for each (g, c) with off, n occurrences, doc, body and m, the contexts of g. Ranges (g, c, lo, hi) of windows found in two contexts or occurrences."""
+def _settled(contexts: DataFrame, several: DataFrame, length: int, core: int, cap: int, widths: tuple[int, ...]) -> DataFrame:
+    """Ranges (g, c, lo, hi) of windows found in two contexts or occurrences.
+
+    contexts: one row for each (g, c) with off, n occurrences, doc and body; several: those of anchors with m > 1 contexts.
+    """
     tasks = max(int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    few = contexts.where((F.col("m") > 1) & (F.col("m") <= cap)).drop("m").repartition(tasks, "g").sortWithinPartitions("g", "c")
+    few = several.where((F.col("m") > 1) & (F.col("m") <= cap)).drop("m").repartition(tasks, "g").sortWithinPartitions("g", "c")
     found = few.mapInArrow(_searched(length, core), "g bigint, c bigint, lo bigint, hi bigint")
     last = F.when(F.col("off") < 0, F.expr("length(body) div 8") - 1).otherwise(F.length("body") - length).cast("bigint")
     whole = contexts.where("n > 1").select("g", "c", F.lit(0).cast("bigint").alias("lo"), last.alias("hi"))
     out = materialise(found.unionByName(whole), "found")
-    hot = contexts.where(F.col("m") > cap)
+    hot = several.where(F.col("m") > cap)
     if widths and not hot.isEmpty():
         parts = materialise(hot.drop("m").mapInArrow(_refined(length, widths[0]), _CONTEXT_SQL + ", og bigint, oc bigint, base bigint"), "classes")
         distinct = parts.groupBy("g", "c").agg(F.first("off").alias("off"), _times("doc"), F.min("doc").alias("doc"), F.first("body").alias("body"))
-        distinct = materialise(_counted(distinct), "contexts")
-        inner = _settled(distinct, length, length - widths[0] + 1, cap, widths[1:])
+        distinct = materialise(distinct, "contexts")
+        again = distinct.groupBy("g").agg(F.count("*").alias("m")).where("m > 1")
+        inner = _settled(distinct, distinct.join(again, "g"), length, length - widths[0] + 1, cap, widths[1:])
         back = parts.select("g", "c", "og", "oc", "base").join(inner, ["g", "c"]).select(F.col("og").alias("g"), F.col("oc").alias("c"), (F.col("base") + F.col("lo")).alias("lo"), (F.col("base") + F.col("hi")).alias("hi"))
         out = out.unionByName(materialise(back, "found"))
         discard(parts, distinct)
     return out
 
 
-def _counted(contexts: DataFrame) -> DataFrame:
-    """With m, the number of contexts of each anchor."""
-    return contexts.join(contexts.groupBy("g").agg(F.count("*").alias("m")), "g")
-
-
 def _merged(ranges) -> list[list[int]]:
     spans: list[list[int]] = []
     for lo, hi in sorted(ranges):
@@ -403,7 +402,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     # Rows that repeat id and text share a fetch: the contexts are distinct again after it.
     held = texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(none))).join(wanted, ["doc_id", "h"]).select("text", F.xxhash64("doc_id", "h").alias("doc"), "wanted")
     contexts = materialise(held.mapInArrow(_fetched(length, passage), _CONTEXT_SQL + ", m bigint").dropDuplicates(["g", "c"]), "bodies")
-    found = _settled(contexts, length, core, cap, WIDTHS)
+    found = _settled(contexts, contexts, length, core, cap, WIDTHS)
     whole = each.where("n > 1").select("g", "c", F.lit(0).cast("bigint").alias("lo"), (F.col("p1") - F.col("p0")).alias("hi"))
     found = materialise(found.unionByName(whole).distinct(), "found")
     hot = hot_keys(each, ["g", "c"], HOT, total)
