@@ -8,6 +8,8 @@
    no other context has are cut off: their windows cannot occur twice.
 4. An anchor with more than CAP different contexts is split by offset classes: windows of a class share a core of bytes,
    the core becomes the anchor, and classes narrow until a core is the window. No group of any size meets one task.
+   Of words, the hashes of the windows are packed: each part of the contexts sends its different hashes to buckets, one
+   row a bucket, and is answered with those that repeat.
 5. The repeated windows go back to their documents as ranges, and the bytes that they cover are removed.
 
 Passages of over 50 words that another document has too are found beside, by the same steps on words: windows of 51 words,
@@ -21,7 +23,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
@@ -37,6 +39,8 @@ WIDTHS = (32, 4, 1)
 PASSAGE, PASSAGE_ANCHOR = 51, 8
 #: Offset classes that are told apart before a search.
 CLASSES = 8
+#: Contexts of words in a part, and hashes of their windows in a bucket, where an anchor has more than CAP contexts.
+PART_CONTEXTS, BUCKET_HASHES = 1000, 1 << 15
 #: An anchor or context with more than this share of all rows is hot; its rows are dealt over several keys in joins.
 HOT = 0.001
 _SEGMENT, _LONG_WORD = 1 << 23, 1 << 16
@@ -290,24 +294,21 @@ def _searched(length: int, core: int):
 
 
 def _refined(length: int, width: int):
-    """Contexts cut into offset classes; the bytes that all windows of a class hold become the anchor. A window of words is a class of its own."""
+    """Contexts cut into offset classes; the bytes that all windows of a class hold become the anchor."""
 
     def run(batches):
         for batch in batches:
             out: list[tuple] = []
             for g, c, off, n, doc, body in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 own_anchor = g.to_bytes(8, "little", signed=True)
-                if off < 0:
-                    out += [(_digest(body[8 * i : 8 * i + 8] + own_anchor, -1), 0, -1, n, doc, body[8 * i : 8 * i + 8], g, c, i) for i in range(len(body) // 8)]
-                else:
-                    starts = np.arange(len(body) - length + 1)
-                    classes = (off - starts) // width
-                    for j in np.unique(classes).tolist():
-                        own = starts[classes == j]
-                        lo, hi, begin = int(own[0]), int(own[-1]), off - j * width  # the latest start of the class
-                        core = body[begin : begin - width + 1 + length]
-                        part = body[lo : hi + length]
-                        out.append((_digest(core + own_anchor, j), _digest(part, begin - lo), begin - lo, n, doc, part, g, c, lo))
+                starts = np.arange(len(body) - length + 1)
+                classes = (off - starts) // width
+                for j in np.unique(classes).tolist():
+                    own = starts[classes == j]
+                    lo, hi, begin = int(own[0]), int(own[-1]), off - j * width  # the latest start of the class
+                    core = body[begin : begin - width + 1 + length]
+                    part = body[lo : hi + length]
+                    out.append((_digest(core + own_anchor, j), _digest(part, begin - lo), begin - lo, n, doc, part, g, c, lo))
                 if len(out) > 4000:
                     yield _batch(out, _PART)
                     out = []
@@ -316,9 +317,79 @@ def _refined(length: int, width: int):
     return run
 
 
-def _times(doc: str) -> Column:
-    """How often a context of bytes occurs; of words, whether two documents have it."""
-    return F.when(F.min("off") < 0, F.when((F.min(doc) != F.max(doc)) | (F.max("n") > 1), 2).otherwise(1)).otherwise(F.sum("n")).cast("bigint").alias("n")
+def _groups(batches):
+    """Rows of one first value after the other; they arrive sorted by it."""
+    group: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            if group and row[0] != group[0][0]:
+                yield group
+                group = []
+            group.append(row)
+    if group:
+        yield group
+
+
+def _gathered(hashes: np.ndarray, docs: np.ndarray, twice: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different hashes, ascending, the smallest doc of each, and whether it has two docs or one that tells of two."""
+    order = np.lexsort((docs, hashes))
+    hashes, docs, twice = hashes[order], docs[order], twice[order]
+    first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    last = np.append(first[1:], len(hashes)) - 1
+    return hashes[first], docs[first], np.logical_or.reduceat(twice, first) | (docs[first] != docs[last])
+
+
+_PACKED = [("bucket", pa.int64()), ("source", pa.int64()), ("hashes", pa.binary()), ("docs", pa.binary()), ("twice", pa.binary())]
+
+
+def _packed(buckets: int):
+    """The different windows of a source's contexts (source, n, doc, body), a row for each bucket that has some."""
+
+    def run(batches):
+        for group in _groups(batches):
+            counts = [len(x[3]) // 8 for x in group]
+            docs = np.repeat(np.array([x[2] for x in group], np.int64), counts)
+            hashes, docs, twice = _gathered(np.frombuffer(b"".join(x[3] for x in group), np.uint64), docs, np.repeat([x[1] > 1 for x in group], counts))
+            bucket = (hashes >> np.uint64(16)) % np.uint64(buckets)
+            own = [(int(j), bucket == j) for j in np.unique(bucket)]
+            yield _batch([(j, group[0][0], hashes[x].tobytes(), docs[x].tobytes(), twice[x].tobytes()) for j, x in own], _PACKED)
+
+    return run
+
+
+def _answered(batches):
+    """For each source the windows of a bucket that repeat."""
+    for group in _groups(batches):
+        hashes, docs, twice = (np.frombuffer(b"".join(x[i] for x in group), t) for i, t in ((2, np.uint64), (3, np.int64), (4, np.bool_)))
+        every, _, several = _gathered(hashes, docs, twice)
+        every = every[several]
+        rows = [(x[1], own[np.isin(own, every)].tobytes()) for x in group for own in [np.frombuffer(x[2], np.uint64)]]
+        yield _batch([x for x in rows if x[1]], [("source", pa.int64()), ("body", pa.binary())])
+
+
+def _located(batches):
+    """Ranges of the windows that repeat, from a source's answers (c is null) and its contexts (source, g, c, body)."""
+    for group in _groups(batches):
+        answers = np.frombuffer(b"".join(x[3] for x in group if x[2] is None), np.uint64)
+        rows = [(g, c, a, b) for _, g, c, body in group if c is not None for a, b in _stretches(np.flatnonzero(np.isin(np.frombuffer(body, np.uint64), answers)))]
+        yield _batch(rows, [(x, pa.int64()) for x in ("g", "c", "lo", "hi")])
+
+
+def _settled_words(hot: DataFrame) -> DataFrame:
+    """Ranges (g, c, lo, hi) of the windows of words that contexts of two documents hold, for anchors of any number of contexts.
+
+    Equal windows have equal anchors, so windows are told apart by their own hashes alone. No task holds more than a
+    part's contexts, or a bucket's hashes, of which each part sends the different ones only.
+    """
+    n, windows = hot.agg(F.count("*"), F.sum(F.expr("length(body) div 8"))).first()
+    tasks = max(int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    rows = hot.withColumn("source", F.pmod(F.xxhash64("g", "c"), F.lit(n // PART_CONTEXTS + 1)))
+    packed = rows.select("source", "n", "doc", "body").repartition(tasks, "source").sortWithinPartitions("source")
+    packed = packed.mapInArrow(_packed((windows or 0) // BUCKET_HASHES + 1), "bucket bigint, source bigint, hashes binary, docs binary, twice binary")
+    answers = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_answered, "source bigint, body binary")
+    none = F.lit(None).cast("bigint")
+    both = answers.select("source", none.alias("g"), none.alias("c"), "body").unionByName(rows.select("source", "g", "c", "body"))
+    return both.repartition(tasks, "source").sortWithinPartitions("source").mapInArrow(_located, "g bigint, c bigint, lo bigint, hi bigint")
 
 
 def _settled(contexts: DataFrame, several: DataFrame, length: int, core: int, cap: int, widths: tuple[int, ...]) -> DataFrame:
@@ -333,9 +404,13 @@ def _settled(contexts: DataFrame, several: DataFrame, length: int, core: int, ca
     whole = contexts.where("n > 1").select("g", "c", F.lit(0).cast("bigint").alias("lo"), last.alias("hi"))
     out = materialise(found.unionByName(whole), "found")
     hot = several.where(F.col("m") > cap)
+    words = hot.where("off < 0")
+    if not words.isEmpty():
+        out = out.unionByName(materialise(_settled_words(words), "found"))
+    hot = hot.where("off >= 0")
     if widths and not hot.isEmpty():
         parts = materialise(hot.drop("m").mapInArrow(_refined(length, widths[0]), _CONTEXT_SQL + ", og bigint, oc bigint, base bigint"), "classes")
-        distinct = parts.groupBy("g", "c").agg(F.first("off").alias("off"), _times("doc"), F.min("doc").alias("doc"), F.first("body").alias("body"))
+        distinct = parts.groupBy("g", "c").agg(F.first("off").alias("off"), F.sum("n").alias("n"), F.min("doc").alias("doc"), F.first("body").alias("body"))
         distinct = materialise(distinct, "contexts")
         again = distinct.groupBy("g").agg(F.count("*").alias("m")).where("m > 1")
         inner = _settled(distinct, distinct.join(again, "g"), length, length - widths[0] + 1, cap, widths[1:])

@@ -430,6 +430,8 @@ def test_remove_repeats(spark, monkeypatch, cap, hot):
         kept = bytes(b for p, b in enumerate(t) if p not in gone)
         want.append((i, len(t), len(gone), sum(p - 1 not in gone for p in gone), hashlib.sha256(kept).hexdigest()))
     monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "PART_CONTEXTS", cap)
+    monkeypatch.setattr(repeats, "BUCKET_HASHES", 20 * cap)
     out = repeats.remove_repeats(frame(spark, data).withColumnRenamed("n", "g"), length=length, anchor=16, cap=cap, passage=12)
     assert collected(out.drop("spans", "has_passage", "passage_words")) == sorted(want, key=repr)
     passages = defaultdict(set)
