@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-#: Rows of a block of vectors and of a block of queries; a pair of blocks meets in one task.
-BLOCK, QUERY_BLOCK = 4096, 2048
+#: Rows of a block of vectors and of a block of queries; a pair of blocks meets in one task. Each vector is sent once for
+#: each block of queries, so that one is the larger.
+BLOCK, QUERY_BLOCK = 4096, 16384
 #: Width of the error bound: about this many standard deviations.
 EPSILON = 3.5
 
@@ -106,10 +107,11 @@ def nearest(vectors: DataFrame, queries: DataFrame | str, k: int = 5, key: str =
     if lengths is None:
         return spark.createDataFrame([], result)
     d = lengths["d"]
-    index = materialise(rows.where(F.size("v") == d).mapInArrow(_indexed(d), "vec_id bigint, code binary, c double, v array<double>"), "codes")
+    index = materialise(rows.where(F.size("v") == d).mapInArrow(_indexed(d), "vec_id bigint, code binary, c double, v array<double>").withColumn("at", F.monotonically_increasing_id()), "codes")
     asked = index.where(queries).select("vec_id", "v") if isinstance(queries, str) else sound(queries).where(F.size("v") == d)
     blocks, q_blocks = -(-index.count() // BLOCK), max(1, -(-asked.count() // QUERY_BLOCK))
-    base = index.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+    # Blocks go by place, so that rows that repeat an id are apart.
+    base = index.withColumn("b", F.pmod(F.xxhash64("at"), F.lit(blocks))).drop("at").withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
     ask = asked.withColumn("q", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(q_blocks)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
     near = base.groupBy("b", "q").cogroup(ask.groupBy("b", "q")).applyInArrow(_found(d, k, epsilon), "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
