@@ -106,6 +106,17 @@ def discard(*tables: DataFrame | None) -> None:
             delete(df.sparkSession, path)
 
 
+def stated(spark: SparkSession, rows: list[dict], schema: str, name: str) -> DataFrame:
+    """The driver's rows as a table of JSON lines below the scratch folder: no literal in the plan, nothing to send again."""
+    path = scratch_path(spark, name)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where)
+    for i in range(0, len(rows), 10_000):
+        out.write("".join(json.dumps(x) + "\n" for x in rows[i : i + 10_000]).encode())
+    out.close()
+    return tabled(spark.read.schema(schema).json(path), path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -4,7 +4,8 @@ A source's rows form blocks of equal row counts. The target is a fluid: at any t
 each slot by their exact weights. Once V units of fluid have gone out for each unit of weight, t(V) = sum(min(w V, blocks))
 slots have passed, so block i of a source of weight w is released at slot floor(t(i/w)) and due at ceil(t((i+1)/w)).
 Earliest-deadline-first then keeps each source within less than one block of its target at every slot, through all phases
-(a phase ends when the fluid of a source does). The driver places blocks, one number each; rows stay DataFrame expressions.
+(a phase ends when the fluid of a source does). The driver places blocks, and blocks grow with the table once it has
+MAX_BLOCKS of them, so its part stays the same; rows stay DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -14,15 +15,16 @@ import heapq
 import math
 from fractions import Fraction
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stated
+
 #: Parts that rounded() deals out; schedules take weights as they are.
 PERIOD = 1024
-#: No longer a cap, every source has its own weight; the name stays for callers that set it.
-MAX_SOURCES = 200
 BLOCK_ROWS = 64
+#: Blocks that the driver places, besides a last one of each source; a larger table has larger blocks, of equal size again.
+MAX_BLOCKS = 1 << 18
 ROWS_PER_BUCKET = 50_000
 _NULL = "\x01null"
 
@@ -101,13 +103,14 @@ def schedule(blocks: dict[str, int], weights: dict[str, float]) -> dict[str, lis
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, source: str = "source", key: str = "doc_id",
-                text: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
+                text: str = "text", block_rows: int = BLOCK_ROWS, max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """docs with mix_block (the source's block), mix_slot (its place in the stream), mix_row (place in the block),
     mix_phase and mix_due (the deadline's slot). Sorted by (mix_slot, mix_row) this is the mixed stream.
 
     weights: target by source; a source without one, and all if None, weighs the square root of its row count.
     No row is dropped or repeated. A null source is a source of its own; rows with equal key and text are
-    interchangeable. A source is cut into hashed buckets before it is numbered, so a hot source never meets one task.
+    interchangeable. Blocks hold block_rows rows, or the table's rows / max_blocks if that is more; the last block of a
+    source may be short. A source is cut into hashed buckets before it is numbered, so a hot source never meets one task.
     Columns of docs that carry one of the five output names are replaced. An empty table gives an empty result.
     """
     names = ["mix_block", "mix_slot", "mix_row", "mix_phase", "mix_due"]
@@ -117,10 +120,10 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, source
     if not counts:
         return docs.withColumns({c: F.lit(0).cast("int" if c in ("mix_row", "mix_phase") else "bigint") for c in names})
     target = {s: float((weights or {}).get("null" if s == _NULL else s, n**0.5)) for s, n in counts.items()}
+    block_rows = max(block_rows, -(-sum(counts.values()) // max_blocks))
     plan = schedule({s: -(-n // block_rows) for s, n in counts.items()}, target)
-    columns = ([s for s, x in plan.items() for _ in x], [b for x in plan.values() for b in range(len(x))], *zip(*(y for x in plan.values() for y in x), strict=True))
-    kinds = {"__src": pa.string(), "__block": pa.int64(), "mix_slot": pa.int64(), "mix_due": pa.int64(), "mix_phase": pa.int32()}
-    placed = docs.sparkSession.createDataFrame(pa.table([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds)))
+    rows = [{"__src": s, "__block": b, "mix_slot": slot, "mix_due": due, "mix_phase": phase} for s, x in plan.items() for b, (slot, due, phase) in enumerate(x)]
+    placed = stated(docs.sparkSession, rows, "__src string, __block bigint, mix_slot bigint, mix_due bigint, mix_phase int", "blocks")
 
     buckets = -(-sum(counts.values()) // ROWS_PER_BUCKET) * 16
     based = based.withColumn("__sub", F.pmod("__hash", F.lit(buckets)))

@@ -73,3 +73,13 @@ def test_sources_of_weight_zero_come_last():
     assert [x[0] for x in plan["a"]] == [0, 1, 2, 3, 4] and [x[0] for x in plan["b"]] == [5, 6, 7]
     with pytest.raises(ValueError, match="negative"):
         mixing.schedule({"a": 1}, {"a": -1.0})
+
+
+def test_larger_tables_have_larger_blocks(spark):
+    """At most so many blocks, besides one a source; names of sources are taken as they are."""
+    rows = {'a "b"\n\\': 300, "": 90, "é ,": 45, "null": 7}
+    data = spark.createDataFrame([(i, s, "t") for i, s in enumerate(s for s, n in rows.items() for _ in range(n))], "doc_id int, source string, text string")
+    got = mixing.mix_sources(data, block_rows=1, max_blocks=10).collect()
+    assert Counter(r.source for r in got) == rows and len({r.doc_id for r in got}) == 442
+    blocks = {s: -(-n // 45) for s, n in rows.items()}
+    assert Counter(s for s, _ in {(r.source, r.mix_block) for r in got}) == blocks and len({r.mix_slot for r in got}) == sum(blocks.values()) <= 10 + len(rows)

@@ -394,7 +394,6 @@ def test_mixing(spark):
 
 
 def test_many_sources_share_a_pool(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "MAX_SOURCES", 4)
     d = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.concat(F.lit("s"), (F.col("id") % 40).cast("string")).alias("source"))
     got = mixing.mix_sources(d, block_rows=8)
     assert got.count() == 500 and got.select("mix_slot", "mix_row").distinct().count() == 500
