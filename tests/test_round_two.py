@@ -23,7 +23,7 @@ def plan(df) -> str:
     return out.getvalue()
 
 
-@pytest.mark.parametrize("name", ["q_bamreadcount", "q_contain_join", "q_flagship_dominant_site", "q_minoverlap_join", "q_overlap_join", "q_region_semijoin", "q_segintersect", "q_segmentdiff"])
+@pytest.mark.parametrize("name", ["q_bamreadcount", "q_contain_join", "q_flagship_dominant_site", "q_minoverlap_join", "q_overlap_join", "q_region_semijoin", "q_segintersect", "q_segmentdiff", "q_stranded_join"])
 def test_sites_are_not_broadcast(spark, name):
     """Files of a few MB hold millions of rows of sites and bins, more than a driver can hold."""
     assert not re.search(r"BroadcastHashJoin \[[^]]*\b(__bin|site)#", plan(catalogue.QUERIES[name](spark, DIR)))
