@@ -13,6 +13,7 @@ minus one, 2 bits) is packed four to a control byte, first value lowest. `ranks`
 
 from __future__ import annotations
 
+import json
 import zlib
 from array import array
 
@@ -37,6 +38,11 @@ _SPACE = r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{2
 _UNSAFE = rf"^(\x00|\n)?$|^[\x00\n]{_SPACE}|{_SPACE}$|^[\t\r\f\x0b\x1c-\x1f\x85\xa0\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]"
 _ALNUM = np.array([chr(i).isalnum() and i < 128 for i in range(256)])
 FIRST, LAST = "\x00", "\x01"
+#: What a byte-level tokenizer writes for each byte, and the place after letters that are letters in all versions of Unicode.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: b for b in _SHOWN} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+_SHOWN_LINES = _BYTES | {10: 10}
+_BLANK, _LETTERS_END = chr(_BYTES[32]), "\u0250"
 _own: dict = {}
 
 
@@ -91,6 +97,14 @@ def unpack_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
     return [None if x else int(i) for i, x in zip(ids, nulls, strict=True)], counts, decode_values(control, data, n)
 
 
+def _words_stay(t: dict) -> bool:
+    """Whether this tokenizer makes one pretoken of a blank and letters, and nothing but its BPE model touches that."""
+    pre, model = t.get("pre_tokenizer") or {}, t["model"]
+    plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
+    same = model.get("type") == "BPE" and not model.get("dropout") and not any(t.get(x) for x in ("normalizer", "post_processor", "truncation", "padding"))
+    return plain and same and not any(x["content"].strip(" ").isalpha() or x["content"].isspace() for x in t.get("added_tokens") or [])
+
+
 class _Pieces(dict):
     """Ids, as bytes, of pieces: words after a blank (keyed without it), from a line break, full stop or comma on (keyed
     with it), or first in a text (keyed with FIRST before them), and the end of a text."""
@@ -99,9 +113,21 @@ class _Pieces(dict):
         self.seen = np.zeros(size, np.int64)
         self.tokenizer, self.kind, self.end = tokenizer, kind, array(kind, [end_id]).tobytes()
 
+        self.bare = tokenizer.model if _words_stay(json.loads(tokenizer.to_str())) else None
+
     def encoded(self, texts: list[str]) -> list[bytes]:
         return [array(self.kind, x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def fresh(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of new pieces. A word of letters after a blank is one pretoken, so the library's model gets it at once."""
+        words = [p for p in new if p.isalpha() and max(p) < _LETTERS_END] if self.bare else []
+        cut = self.bare.tokenize if self.bare else None
+        shown = "\n".join(words).encode().decode("latin-1").translate(_SHOWN_LINES).split("\n") if words else []
+        out = {p: array(self.kind, [t.id for t in cut(_BLANK + x)]).tobytes() for p, x in zip(words, shown, strict=True)}
+        rest = [p for p in new if p not in out]
+        out.update(zip(rest, self.encoded([p[1:] if p[0] == FIRST else p if p[0] in "\n.," else " " + p for p in rest]), strict=True))
+        return out
+
     def of(self, pieces: list[str]) -> list[bytes]:
         """One call to the tokenizer for all new pieces."""
         found = list(map(self.get, pieces))
@@ -109,7 +135,7 @@ class _Pieces(dict):
         if new:
             if len(self) + len(new) > CACHE:
                 self.clear()
-            fresh = dict(zip(new, self.encoded([p[1:] if p[0] == FIRST else p if p[0] in "\n.," else " " + p for p in new]), strict=True))
+            fresh = self.fresh(new)
             self.update(fresh)
             found = [fresh[p] if x is None else x for p, x in zip(pieces, found, strict=True)]
         return found
