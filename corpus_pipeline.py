@@ -58,6 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
-        if stage is not shard:
+        if stage not in (reject_toxic, shard):  # the first is a table already
             docs = materialise(docs, name)
     return docs

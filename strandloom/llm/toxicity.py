@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,12 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
+from .common import collected, materialise
 from .trees import Boosted, Isotonic, boost, isotonic
 
 #: Labelled rows to learn from: those with the smallest hashes, this many at most.
 MAX_TRAIN = 12_000
 #: Learned terms kept, by evidence.
 MAX_TERMS = 3_000
+#: Counts of terms that a worker holds before it hands them on.
+MAX_COUNTS = 200_000
 #: A term must be so frequent in toxic rows that chance would make it with a probability of exp(-EVIDENCE) at most.
 EVIDENCE = 9.0
 THRESHOLD = 0.3
@@ -135,21 +139,22 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def _term_counts(batches):
-    counts: Counter = Counter()
+    counts = [Counter() for _ in range(4)]
     for batch in batches:
-        for text, toxic, fold in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            at = 2 * fold + toxic
-            for t in terms_of(text or ""):
-                counts[t, at] += 1
-        if len(counts) > 2_000_000:
-            yield _counted(counts)
-            counts = Counter()
-    yield _counted(counts)
+        for i in range(0, batch.num_rows, 256):
+            part = batch.slice(i, 256)
+            for text, toxic, fold in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                counts[2 * fold + toxic].update(terms_of(text or ""))
+            if sum(map(len, counts)) > MAX_COUNTS:
+                yield from _counted(counts)
+    yield from _counted(counts)
 
 
-def _counted(counts: Counter) -> pa.RecordBatch:
-    keys = list(counts)
-    return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([counts[k] for k in keys], pa.int64())], ["term", "at", "n"])
+def _counted(counts: list[Counter]) -> Iterator[pa.RecordBatch]:
+    """The counts so far, which are then forgotten: what a worker holds is bounded, and sums are taken later."""
+    for at, own in enumerate(counts):
+        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array([at] * len(own), pa.int32()), pa.array(list(own.values()), pa.int64())], ["term", "at", "n"])
+        own.clear()
 
 
 def _lexicon(rows: list, folds: tuple[int, ...], totals: dict[int, int]) -> dict[str, float]:
@@ -182,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     totals = {2 * r["fold"] + r["toxic"]: r["n"] for r in known.groupBy("fold", "toxic").agg(F.count("*").alias("n")).collect()}
     pos, neg = totals.get(1, 0) + totals.get(3, 0), totals.get(0, 0) + totals.get(2, 0)
     rise = (F.expr("n1 + n3") + 0.5) / (pos + 1) * (neg + 1) / (F.expr("n0 + n2") + 0.5)
-    terms = sums.where(F.expr("n1 + n3 >= 3") & (rise > 4)).orderBy(F.desc(F.log(rise) * F.sqrt(F.expr("n1 + n3"))), "term").limit(MAX_TERMS).collect()
+    terms = collected(sums.where(F.expr("n1 + n3 >= 3") & (rise > 4)).orderBy(F.desc(F.log(rise) * F.sqrt(F.expr("n1 + n3"))), "term").limit(MAX_TERMS))
     lexica = [_lexicon(terms, (1,), totals), _lexicon(terms, (0,), totals), _lexicon(terms, (0, 1), totals)]
 
     def featured(batches):
@@ -192,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             x = [features(t, codes[f]).tolist() for t, f in zip(texts, folds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(x, pa.list_(pa.float64()))], ["id", "toxic", "x"])
 
-    learnt = rows.mapInArrow(featured, "id bigint, toxic int, x array<double>").orderBy("id").collect()
+    learnt = collected(rows.mapInArrow(featured, "id bigint, toxic int, x array<double>").orderBy("id"))
     x = np.array([r["x"] for r in learnt]).reshape(-1, len(NAMES))
     y = np.array([r["toxic"] for r in learnt], float)
     fold = np.arange(len(y)) % 4
@@ -213,6 +218,7 @@ def _scored(model, text_at: int, keep_below: float | None):
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s, pa.float64())], ["id", "score"])
                 else:
                     yield part.filter(pa.array(s < keep_below))
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -229,6 +235,9 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, with all their columns, that score below the threshold; null and empty texts as score() says."""
+    """The rows of docs, with all their columns, that score below the threshold; null and empty texts as score() says.
+
+    A table of its own, since a write by others would send 10,000 whole rows at once to and from the workers.
+    """
     ship(docs.sparkSession)
-    return docs.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text), threshold), docs.schema)
+    return materialise(docs.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text), threshold), docs.schema), "clean")

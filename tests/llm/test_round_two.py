@@ -1,13 +1,18 @@
-"""What the second round's check showed: time of op1."""
+"""What the second round's check showed: time of op1, memory of the workers of toxicity."""
 
 from __future__ import annotations
 
+import contextlib
+import io
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from strandloom.llm import tokens
+from strandloom.llm import tokens, toxicity
+from strandloom.llm.trees import boost, isotonic
 
 
 class Counting:
@@ -40,3 +45,34 @@ def test_other_tokenizers_keep_their_own_way():
     assert tokens._words_stay(byte_level)
     assert not tokens._words_stay(byte_level | {"normalizer": {"type": "Lowercase"}})
     assert not tokens._words_stay(byte_level | {"added_tokens": [{"content": "word"}]})
+
+
+def test_scored_rows_are_a_table_of_small_batches(spark):
+    """Left to its reader's settings, each task of the pipeline's first stage sent 10,000 whole rows at once both ways."""
+    x, y = np.zeros((4, len(toxicity.NAMES))), np.array([0.0, 1, 0, 1])
+    x[:, 2] = y
+    model = toxicity.Model({}, boost(x, y), isotonic(y, y))
+    docs = spark.createDataFrame([(i, "some words") for i in range(50)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        kept = toxicity.drop_toxic(docs, model, threshold=2.0)
+        kept.explain()
+    assert "MapInArrow" not in out.getvalue() and kept.count() == 50
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_term_counts_are_bounded_and_whole(monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_COUNTS", 40)
+    texts = [f"word{chr(97 + i % 26)} other{chr(97 + i % 7)}" for i in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 2 for i in range(2000)]), pa.array([i // 2 % 2 for i in range(2000)])], ["text", "toxic", "fold"])
+    parts = list(toxicity._term_counts([batch]))
+    assert max(p.num_rows for p in parts) < 400 and len(parts) > 4
+    got: dict = {}
+    for p in parts:
+        for term, at, n in zip(*(c.to_pylist() for c in p.columns), strict=True):
+            got[term, at] = got.get((term, at), 0) + n
+    want: dict = {}
+    for i, text in enumerate(texts):
+        for term in toxicity.terms_of(text):
+            want[term, 2 * (i // 2 % 2) + i % 2] = want.get((term, 2 * (i // 2 % 2) + i % 2), 0) + 1
+    assert got == want
