@@ -150,7 +150,7 @@ def drop_duplicates(docs: DataFrame, groups: DataFrame, key: str = "doc_id", tex
 
 
 def _index(nodes: DataFrame, percent: int, k: int, whole: int, miss: float) -> DataFrame:
-    """nid, n, held, central and vs: the retained values (df, v) by which a node (nid, n, sketch) is indexed, rarest first.
+    """nid, role, n, held, central and vs: the retained values (df, v) by which a node (nid, n, sketch) is indexed, rarest first.
 
     A whole set meets other whole sets, of which it must share percent of its own size, under its own values; a sketch
     meets sketches, of which it must share the least overlap, under their complements. Sets whose partners may be of
@@ -166,17 +166,18 @@ def _index(nodes: DataFrame, percent: int, k: int, whole: int, miss: float) -> D
     central = F.aggregate("vs", F.lit(0.0), lambda x, y: x + F.log2(y.df))  # most shares with most others
     vs = F.slice("vs", 1, F.size("vs") - F.col("need") + 1)
     held = F.when(F.col("role") == 0, F.size("vs").cast("bigint"))  # of a whole set, the values that another set has
-    return materialise(lists.select("nid", "n", held.alias("held"), central.alias("central"), vs.alias("vs")), "lists")
+    return materialise(lists.select("nid", "role", "n", held.alias("held"), central.alias("central"), vs.alias("vs")), "lists")
 
 
 def _entries(lists: DataFrame) -> DataFrame:
     """A row for each list v that a node is in; room is the largest overlap with a set that has none of its rarer values.
 
     A list whose value df nodes hold is dealt over `parts` keys, SPREAD entries each, so that no list is one task's.
+    An entry names its row of lists by (nid, role) and does not repeat vs, whose size would be squared by that.
     """
     room = F.coalesce(F.col("held") - F.col("place"), F.col("n"))
     out = lists.select("*", F.posexplode("vs").alias("place", "x")).withColumns({"room": room, "v": F.col("x.v"), "parts": F.expr(f"x.df div {SPREAD} + 1")})
-    return out.withColumn("part", F.pmod(F.xxhash64("nid"), F.col("parts"))).drop("held", "place", "x")
+    return out.withColumn("part", F.pmod(F.xxhash64("nid"), F.col("parts"))).drop("held", "place", "x", "vs")
 
 
 def _on_all_parts(lists: DataFrame) -> DataFrame:
@@ -225,7 +226,7 @@ def _links(nodes: DataFrame, texts: DataFrame, rows: DataFrame, width: int, perc
         discard(labels)
         return out
 
-    look(_star(_entries(lists.withColumn("label", F.col("nid"))).drop("vs"), percent))
+    look(_star(_entries(lists.withColumn("label", F.col("nid"))), percent))
     rest = apart(lists)
     if rest.isEmpty():
         discard(rest, lists, sketches, *sets)
@@ -244,7 +245,7 @@ def _links(nodes: DataFrame, texts: DataFrame, rows: DataFrame, width: int, perc
     discard(rest)
     rest = apart(lists)
     if not rest.isEmpty():  # all that are left, each pair in the first list that has both
-        look(_pairs(rest, percent, "vs").where("v = get(array_intersect(vs_a.v, vs_b.v), 0)"))
+        look(_pairs(rest.join(lists.select("nid", "role", "vs"), ["nid", "role"]), percent, "vs").where("v = get(array_intersect(vs_a.v, vs_b.v), 0)"))
     discard(rest, lists, members, sketches, *sets)
     return found
 
