@@ -14,7 +14,7 @@ from .nearest import nearest
 from .repeats import remove_repeats
 from .sharding import shard_documents
 from .tokens import read_tokens, write_tokens
-from .urls import judge
+from .urls import bad_texts, judge_by_texts
 
 
 def op1_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,8 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "pages"))
+    model = bad_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judge_by_texts(table(spark, sf_dir, "pages"), model)
 
 
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

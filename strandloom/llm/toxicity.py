@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -241,3 +241,26 @@ def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: flo
     """
     ship(docs.sparkSession)
     return materialise(docs.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text), threshold), docs.schema), "clean")
+
+
+def mark(rows: DataFrame, model: Model, text: str, name: str, read: Callable[[str | None], str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows without their text, with 1 or 0 by their score in a column of this name; null where a text has no words and
+    everywhere if the model has learnt no difference.
+
+    read: makes the text to score of the column's, on the executors.
+    """
+    ship(rows.sparkSession)
+    kept, shared = [c for c in rows.columns if c != text], rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        codes = _Codes(shared.value.terms)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                x = np.array([features(read(t) if read else t, codes) for t in part.column(len(kept)).to_pylist()]).reshape(-1, len(NAMES))
+                unknown = (x[:, 0] == 0) | (not shared.value.trees.trees)  # the first feature grows with the words
+                found = pa.array((shared.value.score(x) >= threshold).astype(np.int32), mask=unknown)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], found], [*kept, name])
+            pa.default_memory_pool().release_unused()
+
+    return rows.select(*kept, F.col(text).cast("string")).mapInArrow(run, rows.select(*kept, F.lit(None).cast("int").alias(name)).schema)
